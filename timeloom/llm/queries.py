@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeloom.llm import mixing, packing, pii, quality, toxicity, wordpiece
+from timeloom.llm import jaccard, mixing, packing, pii, quality, repeats, toxicity, vectors, wordpiece
 from timeloom.llm.runtime import Scratch
 
 CAPACITY = 2048
@@ -30,6 +30,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_best_fit(pieces, "length", CAPACITY, ["doc_id", "piece", "start", "ids_crc32"])
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents"), Scratch(spark, "op2")).drop("text")
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -56,8 +60,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.link_vectors(_table(spark, sf_dir, "embeddings"), Scratch(spark, "op9")).select("vec_id", "n_links", "component_id", "kept")
+
+
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op3_source_mixing, op4_private_data, op5_quality_rules, op7_token_counts, op8_toxicity)
+    f.__name__: f for f in (op1_best_fit_packing, op2_substring_dedup, op3_source_mixing, op4_private_data, op5_quality_rules, op7_token_counts, op8_toxicity, op9_embedding_near_dedup, op10_ngram_jaccard)
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 _U = np.uint64
 _BYTE_BASE, _WORD_BASE, _WORD_BASE_2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5
 _BYTE_VALUES = np.random.Generator(np.random.PCG64(20240607)).integers(1, 2**63, 256, dtype=np.uint64)
+_FOLDED_VALUES = _BYTE_VALUES.copy()
+_FOLDED_VALUES[65:91] = _BYTE_VALUES[97:123]
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: Texts are hashed in groups of about so many bytes, which bounds a worker's memory.
@@ -90,8 +92,8 @@ def string_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offs
 
 
-def _hash_span(data: np.ndarray, lo: int, hi: int, cuts: np.ndarray):
-    """Words of data[lo:hi]; cuts: positions where a word must end."""
+def _hash_span(data: np.ndarray, lo: int, hi: int, cuts: np.ndarray, values: np.ndarray):
+    """Words of data[lo:hi]; cuts: positions where a word must end; values: of each byte."""
     part = data[lo:hi]
     space = _IS_SPACE[part]
     edge = np.zeros(len(part) + 1, bool)
@@ -107,13 +109,14 @@ def _hash_span(data: np.ndarray, lo: int, hi: int, cuts: np.ndarray):
     after[:-1] = space[1:]
     ends = np.flatnonzero(word & (after | edge[1:])) + 1
     power, inverse = _power_tables(_BYTE_BASE, len(part) + 1)
-    sums = _prefix(_BYTE_VALUES[part] * power[: len(part)])
+    sums = _prefix(values[part] * power[: len(part)])
     hashes = mix((sums[ends] - sums[begins]) * inverse[begins])
     return hashes, begins + lo, ends + lo
 
 
-def word_blocks(column: pa.Array, group_bytes: int = GROUP_BYTES) -> Iterator[WordBlock]:
-    """Blocks of rows in order; a text longer than group_bytes is a block of its own."""
+def word_blocks(column: pa.Array, group_bytes: int = GROUP_BYTES, fold: bool = False) -> Iterator[WordBlock]:
+    """Blocks of rows in order; a text longer than group_bytes is a block of its own. fold: A-Z count as a-z."""
+    values = _FOLDED_VALUES if fold else _BYTE_VALUES
     data, offs = string_parts(column)
     n, row = len(offs) - 1, 0
     while row < n:
@@ -121,7 +124,7 @@ def word_blocks(column: pa.Array, group_bytes: int = GROUP_BYTES) -> Iterator[Wo
         last = min(max(last, row + 1), n)
         lo, hi = int(offs[row]), int(offs[last])
         if hi - lo <= group_bytes:
-            parts = [_hash_span(data, lo, hi, offs[row : last + 1])] if hi > lo else []
+            parts = [_hash_span(data, lo, hi, offs[row : last + 1], values)] if hi > lo else []
         else:
             parts = []
             while lo < hi:  # one long text, cut where white space stands
@@ -135,7 +138,7 @@ def word_blocks(column: pa.Array, group_bytes: int = GROUP_BYTES) -> Iterator[Wo
                         while cut < hi and not _IS_SPACE[data[cut]]:
                             more = np.flatnonzero(_IS_SPACE[data[cut : cut + size]])
                             cut = min(cut + (int(more[0]) if len(more) else size), hi)
-                parts.append(_hash_span(data, lo, cut, np.empty(0, np.int64)))
+                parts.append(_hash_span(data, lo, cut, np.empty(0, np.int64), values))
                 lo = cut
         if len(parts) == 1:
             hashes, begins, ends = parts[0]
@@ -191,3 +194,36 @@ def sliding(values: np.ndarray, w: int, pick=np.minimum) -> np.ndarray:
 
 def signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups from batches sorted by keys, with the borders of their groups."""
+    held: list[pa.RecordBatch] = []
+
+    def ready(parts: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray]:
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        new = np.zeros(rows.num_rows, bool)
+        new[0] = True
+        for c in keys:
+            k = rows.column(c).to_numpy()
+            new[1:] |= k[1:] != k[:-1]
+        return rows, np.append(np.flatnonzero(new), rows.num_rows)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held and any(held[-1].column(c)[-1] != batch.column(c)[0] for c in keys):
+            yield ready(held)
+            held = []
+        last = np.ones(batch.num_rows, bool)
+        for c in keys:
+            k = batch.column(c).to_numpy(zero_copy_only=False)
+            last &= k == k[-1]
+        others = np.flatnonzero(~last)
+        cut = int(others[-1]) + 1 if len(others) else 0
+        if cut:
+            yield ready([*held, batch.slice(0, cut)])
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield ready(held)
