@@ -141,6 +141,10 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat(s["kind"], F.lit(":"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))), ",")
 
 
+def count_kind(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def redacted(text: Column, spans: Column) -> Column:
     """text with each span replaced by its kind in brackets; of overlapping spans the first names the whole."""
 

@@ -41,7 +41,7 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_private_data(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     found = found.select("doc_id", "pii_spans", F.filter("pii_spans", lambda s: s["kind"].isin(*pii.BASE_KINDS)).alias("base"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
+    counts = [pii.count_kind(F.col("base"), k).alias(f"n_{k}") for k in pii.BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"), pii.spans_text(F.col("pii_spans")).alias("spans"))
 
 
