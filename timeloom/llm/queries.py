@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeloom.llm import jaccard, mixing, packing, pii, quality, repeats, toxicity, vectors, wordpiece
+from timeloom.llm import chat, jaccard, mixing, packing, pii, quality, repeats, toxicity, vectors, wordpiece
 from timeloom.llm.runtime import Scratch
 
 CAPACITY = 2048
@@ -50,6 +50,19 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+#: Tools that a conversation's calls are checked against.
+TOOLS = {
+    "search": {"query": ("string", True), "limit": ("integer", False)},
+    "calculate": {"expression": ("string", True)},
+    "fetch": {"url": ("string", True), "headers": ("object", False)},
+}
+
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = chat.format_chat(_table(spark, sf_dir, "conversations"), chat.tool_schemas(spark, TOOLS), Scratch(spark, "op6"))
+    return told.withColumn("problems", F.array_join("problems", ","))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -69,7 +82,63 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_substring_dedup, op3_source_mixing, op4_private_data, op5_quality_rules, op7_token_counts, op8_toxicity, op9_embedding_near_dedup, op10_ngram_jaccard)
+    f.__name__: f for f in (op1_best_fit_packing, op2_substring_dedup, op3_source_mixing, op4_private_data, op5_quality_rules, op6_chat_formatting, op7_token_counts, op8_toxicity, op9_embedding_near_dedup, op10_ngram_jaccard)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+#: A table of components(node, component) from links(a, b): the smallest node within reach.
+_COMPONENTS = """
+reach(node, seen) AS (
+  SELECT a, a FROM links UNION
+  SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.seen
+),
+components AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_substring_dedup": f"""
+WITH words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words WHERE len(w) >= 50),
+windows AS (SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 49), ' ')) AS h FROM starts),
+earliest AS (SELECT h, min(doc_id) AS first_doc FROM windows GROUP BY h),
+hit AS (SELECT w.doc_id, w.i FROM windows w JOIN earliest e USING (h) WHERE e.first_doc < w.doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM hit),
+each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM words),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS body, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.body, '')) AS kept_sha256
+FROM words d LEFT JOIN kept k USING (doc_id)""",
+    "op3_source_mixing": f"""
+WITH docs AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size, md5('mix-1:' || CAST(doc_id AS VARCHAR)) AS key FROM documents),
+sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM docs GROUP BY source),
+total AS (SELECT sum(source_size) AS words, sum(weight) AS weights FROM sources),
+ranked AS (SELECT *, 3.0::DOUBLE * source_size / weight AS ratio, coalesce(sum(3 * source_size) OVER o, 0) AS capped, coalesce(sum(weight) OVER o, 0) AS used FROM sources
+  WINDOW o AS (ORDER BY 3.0::DOUBLE * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+levels AS (SELECT ratio, CAST(words - capped AS DOUBLE) / CAST(weights - used AS DOUBLE) AS level FROM ranked, total),
+level AS (SELECT coalesce(arg_min(level, ratio) FILTER (ratio >= level), 0) AS level FROM levels),
+targets AS (SELECT source, source_size, CASE WHEN CAST(3 * source_size AS DOUBLE) < level * weight THEN CAST(3 * source_size AS DOUBLE) ELSE level * weight END AS target FROM sources, level),
+ahead AS (SELECT d.*, t.source_size, t.target, coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+  CASE WHEN t.source_size > 0 THEN CAST(floor(t.target) AS BIGINT) // t.source_size ELSE 0 END AS epochs
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+parts AS (SELECT *, greatest(0, least(size, CAST(floor(target) AS BIGINT) - epochs * source_size - before)) AS part FROM ahead)
+SELECT doc_id, size, source_size, target, CAST(epochs * size + part AS BIGINT) AS taken, CAST(epochs AS BIGINT) AS epochs, CAST(part AS BIGINT) AS part FROM parts""",
+    "op6_chat_formatting": """
+SELECT conv_id, turn, role, turn AS at, CAST(0 AS BIGINT) AS depth, '{"content":' || CAST(to_json(text) AS VARCHAR) || ',"role":' || CAST(to_json(role) AS VARCHAR) || '}' AS message_json,
+  CAST(0 AS BIGINT) AS n_calls, CAST(0 AS BIGINT) AS n_linked, '' AS problems, false AS orphan FROM conversations""",
+    "op9_embedding_near_dedup": f"""
+WITH RECURSIVE links(a, b) AS (
+  SELECT x.vec_id, y.vec_id FROM embeddings x JOIN embeddings y ON x.label = y.label AND x.vec_id <> y.vec_id
+  WHERE list_cosine_similarity(CAST(x.embedding AS DOUBLE[]), CAST(y.embedding AS DOUBLE[])) >= 0.98),
+{_COMPONENTS}
+SELECT e.vec_id, CAST((SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS BIGINT) AS n_links, coalesce(c.component, e.vec_id) AS component_id, coalesce(c.component, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN components c ON c.node = e.vec_id""",
+    "op10_ngram_jaccard": f"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5)
+  UNION ALL SELECT doc_id, '<' || array_to_string(w, ' ') FROM words WHERE len(w) BETWEEN 1 AND 4),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links(a, b) AS (SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * k >= 80 * (p.n + q.n - k)),
+{_COMPONENTS}
+SELECT w.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, coalesce(c.component, w.doc_id) AS component_id
+FROM words w LEFT JOIN sizes s USING (doc_id) LEFT JOIN components c ON c.node = w.doc_id""",
+}
