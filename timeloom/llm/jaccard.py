@@ -69,7 +69,7 @@ def prefix_length(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def set_table(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, bits: int = BITS) -> DataFrame:
-    """doc_id, n, hi, lo (a 128-bit name of the set), prefix (its smallest hashes), bitmap."""
+    """doc_id, n, hi, lo (a 128-bit name of the set), prefix (its smallest hashes), bitmap, fine (a bitmap of two bits and more per hash)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,16 +83,38 @@ def set_table(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, bits: i
                 maps = np.zeros((len(n), bits), bool)
                 maps[rows, (hashes & np.uint64(bits - 1)).astype(np.int64)] = True
                 packed = np.packbits(maps, axis=1)
+                fine = [_fine_bitmap(hashes[lo:hi]) for lo, hi in zip(borders[:-1], borders[1:], strict=True)]
                 names = [textops.signed(_sums(textops.mix(hashes ^ np.uint64(salt)), borders)) for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
                 yield pa.record_batch(
                     [
                         batch.column(0)[first : first + len(n)], pa.array(n, pa.int64()), pa.array(names[0]), pa.array(names[1]),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(textops.signed(prefix))), pa.array([r.tobytes() for r in packed], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(textops.signed(prefix))), pa.array([r.tobytes() for r in packed], pa.binary()), pa.array(fine, pa.binary()),
                     ],
-                    names=["doc_id", "n", "hi", "lo", "prefix", "bitmap"],
+                    names=["doc_id", "n", "hi", "lo", "prefix", "bitmap", "fine"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n long, hi long, lo long, prefix array<long>, bitmap binary")
+    return docs.mapInArrow(run, "doc_id long, n long, hi long, lo long, prefix array<long>, bitmap binary, fine binary")
+
+
+def _fine_bitmap(hashes: np.ndarray) -> bytes:
+    """The high bits of each hash as a place among a power of two: neighbouring bits fold into one when that is halved."""
+    bits = max(256, 1 << int(2 * len(hashes)).bit_length())
+    out = np.zeros(bits, bool)
+    out[(hashes >> np.uint64(65 - bits.bit_length())).astype(np.int64)] = True
+    return np.packbits(out).tobytes()
+
+
+def _folded(bits: np.ndarray, size: int) -> np.ndarray:
+    return bits.reshape(size, -1).any(axis=1)
+
+
+def may_reach(a: bytes, n_a: int, b: bytes, n_b: int, percent: int) -> bool:
+    """Can two sets of these fine bitmaps and sizes reach percent of Jaccard similarity?"""
+    x, y = (np.unpackbits(np.frombuffer(v, np.uint8)).view(bool) for v in (a, b))
+    size = min(len(x), len(y))
+    x, y = _folded(x, size), _folded(y, size)
+    both = int((x & y).sum()) + min(n_a - int(x.sum()), n_b - int(y.sum()))
+    return (100 + percent) * both >= percent * (n_a + n_b)
 
 
 class SignatureTree:
@@ -188,31 +210,67 @@ def link_blocks(blocks: DataFrame, percent: int) -> DataFrame:
     return blocks.mapInArrow(run, "a long, b long")
 
 
+def _small_pairs(heads: np.ndarray, sizes: np.ndarray, maps: np.ndarray, groups: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs that may reach percent, for blocks so small that a tree is a root and its leaves."""
+    lo, n = heads[:, 0], heads[:, 1] - heads[:, 0]
+    at = [[], []]
+    for m in np.unique(n):
+        i, j = np.triu_indices(int(m), 1)
+        start = lo[n == m][:, None]
+        at[0].append((start + i).ravel())
+        at[1].append((start + j).ravel())
+    a, b = (np.concatenate(x) for x in at)
+    excess = sizes - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
+    near = (groups[a] != groups[b]) & (percent * np.maximum(sizes[a], sizes[b]) <= 100 * np.minimum(sizes[a], sizes[b]))
+    a, b = a[near], b[near]
+    keep = np.zeros(len(a), bool)
+    for k in range(0, len(a), 1 << 15):
+        x, y = a[k : k + (1 << 15)], b[k : k + (1 << 15)]
+        both = np.bitwise_count(maps[x] & maps[y]).sum(axis=1, dtype=np.int64) + np.minimum(excess[x], excess[y])
+        keep[k : k + (1 << 15)] = (100 + percent) * np.minimum(both, np.minimum(sizes[x], sizes[y])) >= percent * (sizes[x] + sizes[y])
+    return a[keep], b[keep]
+
+
 def candidate_blocks(blocks: DataFrame, percent: int) -> DataFrame:
     """(a, b) that may be linked, of different components, from (block, lo, hi, side, doc_id, component, n, bitmap)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, heads in textops.whole_groups(batches, ["block", "lo", "hi"]):
             ids, groups, sizes, sides, lo_part, hi_part = (rows.column(c).to_numpy() for c in ("doc_id", "component", "n", "side", "lo", "hi"))
-            maps = rows.column("bitmap").combine_chunks()
-            out = []
-            for lo, hi in zip(heads[:-1], heads[1:], strict=True):
-                n = int(hi - lo)
-                if n < 2:
-                    continue
-                a, b = SignatureTree(sizes[lo:hi], _bitmaps(maps.slice(lo, n)), groups[lo:hi]).pairs(percent)
-                keep = groups[lo:hi][a] != groups[lo:hi][b]
-                if lo_part[lo] != hi_part[lo]:
-                    keep &= sides[lo:hi][a] != sides[lo:hi][b]
-                a, b = ids[lo:hi][a[keep]], ids[lo:hi][b[keep]]
-                out.append(np.stack((np.minimum(a, b), np.maximum(a, b))))
-            both = np.unique(np.concatenate(out, axis=1), axis=1) if out else np.empty((2, 0), np.int64)
+            maps = _bitmaps(rows.column("bitmap").combine_chunks())
+            spans = np.stack((heads[:-1], heads[1:]), axis=1)
+            count = spans[:, 1] - spans[:, 0]
+            found = []
+            small = spans[(count > 1) & (count <= 2 * FANOUT)]
+            if len(small):
+                found.append(_small_pairs(small, sizes, maps, groups, percent))
+            for lo, hi in spans[count > 2 * FANOUT]:
+                a, b = SignatureTree(sizes[lo:hi], maps[lo:hi], groups[lo:hi]).pairs(percent)
+                found.append((a + lo, b + lo))
+            if not found:
+                continue
+            a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+            keep = (groups[a] != groups[b]) & ((lo_part[a] == hi_part[a]) | (sides[a] != sides[b]))
+            a, b = ids[a[keep]], ids[b[keep]]
+            both = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1)
             if both.size:
                 yield pa.record_batch([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
 
     return blocks.mapInArrow(run, "a long, b long")
 
 
+def finer(pairs: DataFrame, percent: int) -> DataFrame:
+    """Those of (a, b, fine_a, n_a, fine_b, n_b) that finer bitmaps leave."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, n_a, b, n_b = (batch.column(i).to_pylist() for i in range(2, 6))
+            keep = pa.array([may_reach(*x, percent) for x in zip(a, n_a, b, n_b, strict=True)], pa.bool_())
+            yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(keep)
+
+    return pairs.select("a", "b", "fine_a", "n_a", "fine_b", "n_b").mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, percent: int) -> DataFrame:
     """The linked ones of (a, b, text_a, text_b)."""
 
@@ -248,7 +306,7 @@ def jaccard_components(docs: DataFrame, scratch: Scratch, percent: int = PERCENT
     linkable = sets.filter("n > 0 and doc_id is not null")
     classes = scratch.save(linkable.groupBy("hi", "lo", "n").agg(F.min("doc_id").alias("leader")), "classes")
     leaders = sets.join(classes.select("hi", "lo", "n", F.col("leader").alias("doc_id")), ["hi", "lo", "n", "doc_id"])
-    leaders = scratch.save(leaders.dropDuplicates(["doc_id"]).select("doc_id", "n", "prefix", "bitmap"), "leaders")
+    leaders = scratch.save(leaders.dropDuplicates(["doc_id"]).select("doc_id", "n", "prefix", "bitmap", "fine"), "leaders")
 
     # Prefix hashes of several classes, one of them near enough to its start to be the smaller set of a link.
     spread = leaders.select("doc_id", "n", F.posexplode("prefix").alias("at", "block")).select("block", "doc_id", (9 * F.col("at") <= F.col("n")).alias("early"))
@@ -257,25 +315,24 @@ def jaccard_components(docs: DataFrame, scratch: Scratch, percent: int = PERCENT
     rows = scratch.save(spread.join(shared, "block").select("block", "doc_id", "members"), "rows")
     scratch.drop("shared")
 
-    near = rows.select("doc_id").distinct()
-    near = docs.join(near, "doc_id").join(leaders.select("doc_id", "n", F.col("prefix")[0].alias("block"), "bitmap"), "doc_id")
-    near = scratch.save(near.dropDuplicates(["doc_id"]), "near")
+    # The smallest hash first, with texts; what a block of several parts links is searched again without the linked ones.
     parts_now = _partitions(docs)
-
-    # The smallest hash first, again among the roots as long as blocks had to be dealt in parts.
-    edges, roots = None, near
+    first = leaders.select("doc_id", "n", F.col("prefix")[0].alias("block"), "bitmap")
+    common = scratch.save(first.groupBy("block").agg(F.count("*").alias("m")).filter("m > 1").select("block"), "common")
+    roots = scratch.save(docs.join(first.join(common, "block"), "doc_id").dropDuplicates(["doc_id"]), "near")
+    edges, again = None, None
     for step in range(4):
         counts = roots.groupBy("block").agg(F.count("*").alias("m"), F.sum(F.length("text")).alias("size")).filter("m > 1")
         counts = counts.withColumn("parts", F.greatest(F.ceil(F.col("m") / PART), F.ceil(F.col("size") / PART_BYTES)))
-        counts = scratch.save(counts, f"counts{step}")
+        counts = scratch.save(counts if again is None else counts.join(again, "block", "left_semi"), f"counts{step}")
         dealt = roots.join(counts, "block").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(step)), F.col("parts")))
         dealt = dealt.select("block", "part", "doc_id", "n", "bitmap", "text").repartition(parts_now, "block", "part").sortWithinPartitions("block", "part")
         found = scratch.save(link_blocks(dealt, percent), f"edges{step}")
         edges = found if edges is None else edges.unionByName(found)
-        if not counts.filter("parts > 1").limit(1).count():
+        again = counts.filter("parts > 1").select("block")
+        if not again.limit(1).count() or not found.limit(1).count():
             break
-        own = connected_components(edges, scratch, f"cc{step}")
-        roots = near.join(own, F.col("doc_id") == F.col("node"), "left_anti")
+        roots = roots.join(found.select(F.greatest("a", "b").alias("doc_id")).distinct(), "doc_id", "left_anti")
     components = connected_components(edges, scratch, "early")
 
     # Every shared prefix hash, where several components still meet.
@@ -291,7 +348,11 @@ def jaccard_components(docs: DataFrame, scratch: Scratch, percent: int = PERCENT
     dealt = dealt.select("block", "doc_id", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), (F.col("part") > F.col("other")).cast("int").alias("side"))
     dealt = dealt.join(known, "doc_id").repartition(parts_now, "block", "lo", "hi").sortWithinPartitions("block", "lo", "hi")
     pairs = scratch.save(candidate_blocks(dealt, percent).distinct(), "pairs")
-    texts = near.select("doc_id", "text")
+    fine = leaders.select("doc_id", "n", "fine")
+    pairs = pairs.join(fine.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("fine").alias("fine_a")), "a").join(fine.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("fine").alias("fine_b")), "b")
+    pairs = scratch.save(finer(pairs, percent), "finer")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    texts = scratch.save(docs.join(ends, "doc_id", "left_semi").select("doc_id", "text").dropDuplicates(["doc_id"]), "texts")
     pairs = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     late = scratch.save(verified(pairs, percent), "late")
     if late.limit(1).count():
