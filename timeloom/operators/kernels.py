@@ -95,12 +95,12 @@ def downsampled(obs: DataFrame, freq: str) -> DataFrame:
 
 
 def rolling(df: DataFrame, keys: Sequence[str], windows: Sequence[int], percentile: bool = False) -> DataFrame:
-    """keys, observation_date, window, value, change, pct_change, zscore: rows from the w-th change on, one per window."""
+    """keys, observation_date, window_size, value, change, pct_change, zscore: rows from the w-th change on, one per window."""
     order, out = ordered(*keys), []
     for w in windows:
         base = F.lag("value", w).over(order)
         frame = trailing(w, *keys)
-        parts = [F.lit(w).alias("window"), (F.col("value") - base).alias("change"), pct_change(F.col("value"), base).alias("pct_change"), zscore("value", frame, FLAT).alias("zscore")]
+        parts = [F.lit(w).alias("window_size"), (F.col("value") - base).alias("change"), pct_change(F.col("value"), base).alias("pct_change"), zscore("value", frame, FLAT).alias("zscore")]
         if percentile:
             parts.append((F.size(F.filter(F.collect_list("value").over(frame), _at_most(F.col("value")))) / F.lit(w) * 100).alias("percentile"))
         out.append(F.when(F.row_number().over(order) > w, F.struct(*parts)))

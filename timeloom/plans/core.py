@@ -36,7 +36,7 @@ def rolling_sql(source: str, keys: str, windows: list[int], percentile: bool = F
     parts = []
     for w in windows:
         rank = f", len(list_filter(list(value) OVER (o ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW), lambda x: x <= value)) / {w}.0 * 100 AS percentile" if percentile else ""
-        parts.append(f"""SELECT {keys}, observation_date, {w} AS "window", value, value - base AS change, {pct('value', 'base')} AS pct_change, CASE WHEN std > 1e-12 THEN (value - mean) / std END AS zscore{', percentile' if percentile else ''}
+        parts.append(f"""SELECT {keys}, observation_date, {w} AS window_size, value, value - base AS change, {pct('value', 'base')} AS pct_change, CASE WHEN std > 1e-12 THEN (value - mean) / std END AS zscore{', percentile' if percentile else ''}
 FROM (SELECT *, lag(value, {w}) OVER o AS base, row_number() OVER o AS k, avg(value) OVER (o ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW) AS mean, stddev_pop(value) OVER (o ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW) AS std{rank}
   FROM {source} WINDOW o AS (PARTITION BY {keys} ORDER BY observation_date)) AS t WHERE k > {w}""")
     return " UNION ALL ".join(parts)
@@ -120,7 +120,7 @@ def _ratios(s, d):
 register("company_fundamentals", "cik s, concept s, observation_date d, value f, tag s", _fundamentals, FUND_SQL, "facts")
 register("company_ratios", "cik s, ratio s, observation_date d, value f", _ratios, RATIO_SQL, "facts")
 register("ratio_ranks", "cik s, ratio s, observation_date d, value f, pct_rank f, position i", lambda s, d: features.ratio_ranks(_ratios(s, d)), f"SELECT *, percent_rank() OVER (PARTITION BY ratio, observation_date ORDER BY value) AS pct_rank, row_number() OVER (PARTITION BY ratio, observation_date ORDER BY value DESC, cik) AS position FROM ({RATIO_SQL}) AS t", "facts")
-register("zscore_rolling", f"{KEYS}, window i, value f, change f, pct_change f, zscore f, percentile f", lambda s, d: features.zscore_rolling(a.monthly(s, d)), rolling_sql("monthly", "series_id", [12, 36, 60, 120], True), "monthly")
+register("zscore_rolling", f"{KEYS}, window_size i, value f, change f, pct_change f, zscore f, percentile f", lambda s, d: features.zscore_rolling(a.monthly(s, d)), rolling_sql("monthly", "series_id", [12, 36, 60, 120], True), "monthly")
 _HEAT = ", ".join(f"CASE WHEN k >= {w} AND s{w} > 1e-12 THEN (value - m{w}) / s{w} END AS z_{w}, CASE WHEN k >= {w} THEN len(list_filter(l{w}, lambda x: x <= value)) / {w}.0 * 100 END AS pct_{w}" for w in features.HEATMAP_WINDOWS)
 _HEAT_IN = ", ".join(f"avg(value) OVER (o ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW) AS m{w}, stddev_pop(value) OVER (o ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW) AS s{w}, list(value) OVER (o ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW) AS l{w}" for w in features.HEATMAP_WINDOWS)
 register("zscore_heatmap", f"{KEYS}, value f, z_full f, pct_full f, " + ", ".join(f"z_{w} f, pct_{w} f" for w in features.HEATMAP_WINDOWS), lambda s, d: features.zscore_heatmap(a.monthly(s, d)), f"SELECT series_id, observation_date, value, CASE WHEN sf > 0 THEN (value - mf) / sf END AS z_full, len(list_filter(lf, lambda x: x <= value)) / k * 100 AS pct_full, {_HEAT} FROM (SELECT *, CAST(row_number() OVER o AS DOUBLE) AS k, avg(value) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS mf, stddev_pop(value) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sf, list(value) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lf, {_HEAT_IN} FROM monthly WINDOW o AS (PARTITION BY series_id ORDER BY observation_date)) AS t", "monthly")
