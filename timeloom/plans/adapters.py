@@ -54,8 +54,8 @@ def vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A close per supplier and day: mean price per unit."""
-    rows = table(spark, sf_dir, "lineitem").withColumn("p", (F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(18,4)"))
-    return rows.groupBy(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("ticker"), F.col("l_shipdate").cast("date").alias("observation_date")).agg((F.sum("p").cast("double") / F.count("*")).alias("close"), F.sum(_exact("l_tax")).cast("double").alias("dividend"))
+    rows = table(spark, sf_dir, "lineitem")
+    return rows.groupBy(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("ticker"), F.col("l_shipdate").cast("date").alias("observation_date")).agg((F.sum(_exact("l_extendedprice")).cast("double") / F.sum(_exact("l_quantity")).cast("double")).alias("close"), F.sum(_exact("l_tax")).cast("double").alias("dividend"))
 
 
 def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +79,7 @@ SQL = {
     "vintages": """vintage_sums AS (SELECT 'PRI:' || o_orderpriority AS series_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS observation_date, CAST(date_trunc('month', l_shipdate) AS DATE) AS realtime_start, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS v
   FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_shipdate >= o_orderdate GROUP BY 1, 2, 3),
 vintages AS (SELECT series_id, observation_date, realtime_start, lead(realtime_start) OVER w AS realtime_end, CAST(sum(v) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS value FROM vintage_sums WINDOW w AS (PARTITION BY series_id, observation_date ORDER BY realtime_start))""",
-    "prices": "prices AS (SELECT 'S' || l_suppkey AS ticker, CAST(l_shipdate AS DATE) AS observation_date, CAST(sum(CAST(l_extendedprice / l_quantity AS DECIMAL(18,4))) AS DOUBLE) / count(*) AS close, CAST(sum(CAST(l_tax AS DECIMAL(18,2))) AS DOUBLE) AS dividend FROM lineitem GROUP BY 1, 2)",
+    "prices": "prices AS (SELECT 'S' || l_suppkey AS ticker, CAST(l_shipdate AS DATE) AS observation_date, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS close, CAST(sum(CAST(l_tax AS DECIMAL(18,2))) AS DOUBLE) AS dividend FROM lineitem GROUP BY 1, 2)",
     "holdings": "holdings AS (SELECT n_name AS etf, 'S' || s_suppkey AS constituent, CAST(date_trunc('year', l_shipdate) AS DATE) AS observation_date, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS weight FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2, 3)",
     "facts": "facts AS (SELECT CAST(o_custkey AS VARCHAR) AS cik, 'TAG_' || o_orderstatus AS tag, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS observation_date, CAST(o_orderdate AS DATE) AS realtime_start, o_totalprice AS value FROM orders)",
 }
