@@ -53,15 +53,13 @@ def _rule(rule: tuple, year: Column) -> Column:
 
 def holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
     """(market, holiday, observed): Sunday moves to Monday; Saturday to Friday at NYSE except New Year's Day, and is dropped elsewhere."""
-    years = spark.range(first_year, last_year + 2).select(F.col("id").cast("int").alias("y"))
-    rows = []
-    for name, rule, markets, since in HOLIDAYS:
-        for market in markets.split():
-            day = F.when(F.col("y") >= since, _rule(rule, F.col("y")))
-            saturday = F.date_sub(day, 1) if market == "NYSE" and name != "New Year's Day" else F.lit(None).cast("date")
-            observed = F.when(F.dayofweek(day) == 1, F.date_add(day, 1)).when(F.dayofweek(day) == 7, saturday).otherwise(day)
-            rows.append(F.struct(F.lit(market).alias("market"), F.lit(name).alias("holiday"), observed.alias("observed")))
-    return years.select(F.explode(F.array(*rows)).alias("h")).select("h.*").filter("observed is not null")
+    year = F.col("id").cast("int")
+    rules = [F.struct(F.lit(name).alias("holiday"), F.when(year >= since, _rule(rule, year)).alias("day"), F.array(*[F.lit(m) for m in markets.split()]).alias("markets")) for name, rule, markets, since in HOLIDAYS]
+    rows = spark.range(first_year, last_year + 2).select(F.explode(F.array(*rules)).alias("h")).select("h.*").filter("day is not null")
+    rows = rows.select("holiday", "day", F.explode("markets").alias("market"))
+    kept = F.when((F.col("market") == "NYSE") & (F.col("holiday") != "New Year's Day"), F.date_sub("day", 1))
+    observed = F.when(F.dayofweek("day") == 1, F.date_add("day", 1)).when(F.dayofweek("day") == 7, kept).otherwise(F.col("day"))
+    return rows.select("market", "holiday", observed.alias("observed")).filter("observed is not null")
 
 
 def market_calendar(spark: SparkSession, start: str, end: str, closures: DataFrame | None = None) -> DataFrame:

@@ -13,12 +13,14 @@ Build = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Build] = {}
 ORACLE_SQL: dict[str, str] = {}
+SPECS: dict[str, str] = {}
 
 #: Letter of a column in a spec: (Spark expression, SQL expression). Doubles are rounded, since sums differ in their last digits.
 _AS = {
     "s": ("cast({c} as string)", "CAST({c} AS VARCHAR)"),
     "d": ("cast(cast({c} as date) as string)", "CAST(CAST({c} AS DATE) AS VARCHAR)"),
     "f": ("round(cast({c} as double), 6) + 0.0D", "round(CAST({c} AS DOUBLE), 6) + CAST(0.0 AS DOUBLE)"),
+    "p": ("round(cast({c} as double), 10) + 0.0D", "round(CAST({c} AS DOUBLE), 10) + CAST(0.0 AS DOUBLE)"),
     "i": ("cast({c} as bigint)", "CAST({c} AS BIGINT)"),
     "b": ("cast({c} as boolean)", "CAST({c} AS BOOLEAN)"),
 }
@@ -31,6 +33,7 @@ def _columns(spec: str, dialect: int) -> list[str]:
 
 def register(name: str, spec: str, build: Build, sql: str | None = None, uses: str = "") -> None:
     """spec: 'column letter, …', the result's columns; uses: adapters that the SQL names."""
+    SPECS[name] = spec
     QUERIES[name] = lambda spark, sf_dir: build(spark, sf_dir).select(*[F.expr(c) for c in _columns(spec, 0)])
     if sql is not None:
         ctes = ",\n".join(adapters.SQL[u] for u in uses.split())
@@ -51,4 +54,4 @@ def values(rows: list[tuple], name: str, columns: str) -> str:
     return f"(VALUES {', '.join('(' + ', '.join(lit(x) for x in r) + ')' for r in rows)}) AS {name}({columns})"
 
 
-from timeloom.plans import core, markets_q  # noqa: E402, F401  each module registers its queries
+from timeloom.plans import core, lab_q, markets_q  # noqa: E402, F401  each module registers its queries
