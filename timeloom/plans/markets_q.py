@@ -112,7 +112,7 @@ def _policy(s, d):
 
 register("policy_rates", "country s, observation_date d, rate f, change_bps f, last_move_bps f, stance s, real_rate f", _policy, f"SELECT r.*, value AS rate, CASE WHEN last_move_bps > 0 THEN 'hiking' WHEN last_move_bps < 0 THEN 'cutting' WHEN abs(change_bps) <= 1 THEN 'on-hold' END AS stance, CASE WHEN r.observation_date - y.d <= 550 THEN value - yoy END AS real_rate FROM (SELECT *, last_value(CASE WHEN abs(change_bps) > 1 THEN change_bps END IGNORE NULLS) OVER (PARTITION BY country ORDER BY observation_date) AS last_move_bps FROM (SELECT country, observation_date, value, (value - lag(value) OVER (PARTITION BY country ORDER BY observation_date)) * 100 AS change_bps FROM curve JOIN {values(POLICY, 'p', 'series_id, country')} USING (series_id))) r ASOF LEFT JOIN (SELECT country, observation_date AS d, yoy FROM ({_YOY_SQL})) y ON y.country = r.country AND r.observation_date >= y.d", "curve monthly")
 
-register("equity_return", "ticker s, observation_date d, close p, price_change p, price_return f, return_index f", lambda s, d: equity.returns(a.prices(s, d)), "SELECT ticker, observation_date, close, close - prev AS price_change, close / prev - 1 AS price_return, 100 * product(CASE WHEN prev IS NULL THEN 1 ELSE close / prev END) OVER (PARTITION BY ticker ORDER BY observation_date) AS return_index FROM (SELECT *, lag(close) OVER (PARTITION BY ticker ORDER BY observation_date) AS prev FROM prices) AS t", "prices")
+register("equity_return", "ticker s, observation_date d, close p, price_change q, price_return f, return_index f", lambda s, d: equity.returns(a.prices(s, d)), "SELECT ticker, observation_date, close, close - prev AS price_change, close / prev - 1 AS price_return, 100 * product(CASE WHEN prev IS NULL THEN 1 ELSE close / prev END) OVER (PARTITION BY ticker ORDER BY observation_date) AS return_index FROM (SELECT *, lag(close) OVER (PARTITION BY ticker ORDER BY observation_date) AS prev FROM prices) AS t", "prices")
 register("canonical_prices", "ticker s, observation_date d, close p", lambda s, d: equity.canonical_prices(a.prices(s, d).filter("ticker like '%3'").select("ticker", "observation_date", "close"), a.prices(s, d).select("ticker", "observation_date", (F.col("close") * 2).alias("close"))), "SELECT ticker, observation_date, CASE WHEN ticker LIKE '%3' THEN close ELSE close * 2 END AS close FROM prices", "prices")
 register("index_constituents", "etf s, constituent s, observation_date d, weight f, rank i, is_latest b", lambda s, d: equity.constituents(a.holdings(s, d)), "SELECT *, row_number() OVER (PARTITION BY etf, observation_date ORDER BY weight DESC, constituent) AS rank, observation_date = max(observation_date) OVER (PARTITION BY etf) AS is_latest FROM holdings", "holdings")
 register("total_return", "ticker s, observation_date d, price_return f, total_return f, price_index f, total_index f, ttm_dividend f, yield_pct f", lambda s, d: equity.total_return(a.prices(s, d).withColumn("split", F.lit(1.0))), "SELECT ticker, observation_date, close / prev - 1 AS price_return, (close + dividend) / prev - 1 AS total_return, 100 * product(coalesce(close / prev, 1)) OVER w AS price_index, 100 * product(coalesce((close + dividend) / prev, 1)) OVER w AS total_index, sum(dividend) OVER (PARTITION BY ticker ORDER BY observation_date RANGE BETWEEN INTERVAL '365' DAY PRECEDING AND CURRENT ROW) AS ttm_dividend, sum(dividend) OVER (PARTITION BY ticker ORDER BY observation_date RANGE BETWEEN INTERVAL '365' DAY PRECEDING AND CURRENT ROW) / close * 100 AS yield_pct FROM (SELECT *, lag(close) OVER (PARTITION BY ticker ORDER BY observation_date) AS prev FROM prices) WINDOW w AS (PARTITION BY ticker ORDER BY observation_date)", "prices")

@@ -21,6 +21,7 @@ _AS = {
     "d": ("cast(cast({c} as date) as string)", "CAST(CAST({c} AS DATE) AS VARCHAR)"),
     "f": ("round(cast({c} as double), 6) + 0.0D", "round(CAST({c} AS DOUBLE), 6) + CAST(0.0 AS DOUBLE)"),
     "p": ("round(cast({c} as double), 10) + 0.0D", "round(CAST({c} AS DOUBLE), 10) + CAST(0.0 AS DOUBLE)"),
+    "q": ("round(cast({c} as double), 8) + 0.0D", "round(CAST({c} AS DOUBLE), 8) + CAST(0.0 AS DOUBLE)"),
     "i": ("cast({c} as bigint)", "CAST({c} AS BIGINT)"),
     "b": ("cast({c} as boolean)", "CAST({c} AS BOOLEAN)"),
 }
@@ -54,4 +55,4 @@ def values(rows: list[tuple], name: str, columns: str) -> str:
     return f"(VALUES {', '.join('(' + ', '.join(lit(x) for x in r) + ')' for r in rows)}) AS {name}({columns})"
 
 
-from timeloom.plans import core, lab_q, markets_q  # noqa: E402, F401  each module registers its queries
+from timeloom.plans import core, ingest_q, lab_q, markets_q  # noqa: E402, F401  each module registers its queries
