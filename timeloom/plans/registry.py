@@ -55,4 +55,4 @@ def values(rows: list[tuple], name: str, columns: str) -> str:
     return f"(VALUES {', '.join('(' + ', '.join(lit(x) for x in r) + ')' for r in rows)}) AS {name}({columns})"
 
 
-from timeloom.plans import core, ingest_q, lab_q, markets_q  # noqa: E402, F401  each module registers its queries
+from timeloom.plans import core, events_q, ingest_q, lab_q, markets_q  # noqa: E402, F401  each module registers its queries

@@ -57,6 +57,8 @@ class Warehouse:
 
 def normalise(bronze: DataFrame) -> DataFrame:
     """Silver rows of all payloads (source, series_id, payload, …), each source by its parser."""
+    if "as_of_date" not in bronze.columns:  # only holdings files have it
+        bronze = bronze.withColumn("as_of_date", F.lit(None).cast("date"))
     out = None
     for source, parse in PARSERS.items():
         rows = parse(bronze.filter(F.col("source") == source))
