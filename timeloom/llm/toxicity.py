@@ -23,7 +23,7 @@ BITS = 18
 #: Features that the classifier keeps, those with the most informative ratios.
 FEATURES = 6000
 #: Standard errors by which a feature's share must differ between the labels.
-LEAST_SPREAD = 3.5
+LEAST_SPREAD = 1.5
 #: Labelled documents that it learns from: those with the smallest hash of doc_id.
 MOST_LABELLED = 20_000
 THRESHOLD = 0.7
@@ -86,7 +86,7 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(out + self.bias, -30, 30)))
 
 
-def fit_logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, y: np.ndarray, n_columns: int, ridge: float = 1.0, steps: int = 300) -> tuple[np.ndarray, float]:
+def fit_logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, y: np.ndarray, n_columns: int, ridge: float = 2.0, steps: int = 300) -> tuple[np.ndarray, float]:
     """Ridge logistic regression on a sparse matrix, by accelerated gradient steps."""
     n = len(y)
     w, b = np.zeros(n_columns), float(np.log((y.sum() + 1) / (n - y.sum() + 1)))
