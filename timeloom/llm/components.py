@@ -13,29 +13,29 @@ from pyspark.sql import functions as F
 from timeloom.llm.runtime import Scratch
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Are all edges stars: one lower end for each upper end, and that no upper end itself?"""
+    twice = edges.groupBy("hi").agg(F.count("*").alias("n")).filter("n > 1").select("hi")
+    inner = edges.select("hi").join(edges.select(F.col("lo").alias("hi")), "hi", "left_semi")
+    return not twice.unionByName(inner).limit(1).count()
 
 
 def connected_components(edges: DataFrame, scratch: Scratch, label: str = "cc") -> DataFrame:
     """(node, component) for each node of edges (a, b) that isn't its component's smallest; a written table."""
     now = edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("lo < hi").distinct()
-    now = scratch.save(now, f"{label}-0")
-    mark, step = _mark(now), 0
-    while mark[0]:
+    now = scratch.save(now, f"{label}-0", release=False)
+    step = 0
+    while not _settled(now):
         step += 1
         both = now.select(F.col("lo").alias("u"), F.col("hi").alias("v")).unionByName(now.select(F.col("hi").alias("u"), F.col("lo").alias("v")))
-        least = scratch.save(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), f"{label}-l{step}")
+        least = scratch.save(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), f"{label}-l{step}", release=False)
         large = now.select(F.col("lo").alias("u"), F.col("hi").alias("v")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = scratch.save(large.distinct(), f"{label}-m{step}")
-        least2 = scratch.save(large.groupBy("u").agg(F.min("v").alias("m")), f"{label}-n{step}")
+        large = scratch.save(large.distinct(), f"{label}-m{step}", release=False)
+        least2 = scratch.save(large.groupBy("u").agg(F.min("v").alias("m")), f"{label}-n{step}", release=False)
         small = large.join(least2, "u").filter("v != m").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
         small = small.unionByName(least2.select(F.col("u").alias("hi"), F.col("m").alias("lo"))).distinct()
-        now = scratch.save(small, f"{label}-{step}")
+        now = scratch.save(small, f"{label}-{step}", release=False)
         for name in ("l", "m", "n"):
             scratch.drop(f"{label}-{name}{step}")
         scratch.drop(f"{label}-{step - 1}")
-        before, mark = mark, _mark(now)
-        if mark == before:
-            break
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("component"))

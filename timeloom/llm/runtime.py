@@ -34,11 +34,13 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, release: bool = True) -> DataFrame:
+        """df as a written table; release: free shuffle files that no plan needs any more, for steps that shuffle much."""
         schema = df.schema
         df.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.root}/{name}")
         del df
-        self.release()
+        if release:
+            self.release()
         return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
 
     def drop(self, name: str) -> None:
