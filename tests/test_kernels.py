@@ -183,3 +183,12 @@ def test_inversion_episode_bounds(spark):
     out = markets.inversion_episodes(rows).orderBy("episode").collect()
     assert [(str(r.start_date), str(r.end_date), r.n_obs, r.calendar_days, r.is_ongoing) for r in out] == [("2020-01-02", "2020-01-06", 2, 4, False), ("2020-01-07", "None", 1, 0, True)]
     assert math.isclose(out[0].trough_value, -2.0)
+
+
+def test_calendar_page():
+    from timeloom.sources import calendar_page as page
+
+    html = "<style>x</style><h4>2031 FOMC Meetings</h4><div><b>January</b></div><div>28-29</div><b>Apr/May</b><p>30-1*</p><b>Note</b><p>5</p><h4>2032 Meetings</h4><b>March</b> <i>16 - 17*</i>"
+    found = page.meetings(html)
+    assert found == [(D(2031, 1, 29), False), (D(2031, 5, 1), True), (D(2032, 3, 17), True)]
+    assert page.changes([D(2031, 1, 29)], [d for d, _ in found])["added"] == [D(2031, 5, 1), D(2032, 3, 17)]

@@ -119,3 +119,5 @@ register("total_return", "ticker s, observation_date d, price_return f, total_re
 register("price_reconciliation", "ticker s, observation_date d, close_a p, close_b p, pct_diff f, diverged b", lambda s, d: equity.price_reconciliation(a.prices(s, d), a.prices(s, d).withColumn("close", F.col("close") + F.col("dividend") * 100).filter("day(observation_date) % 2 = 0")), "SELECT ticker, observation_date, close AS close_a, close + dividend * 100 AS close_b, -(dividend * 100) / (close + dividend * 100) AS pct_diff, abs((dividend * 100) / (close + dividend * 100)) * 100 > 2 AS diverged FROM prices WHERE day(observation_date) % 2 = 0", "prices")
 _VOL = " UNION ALL ".join(f"SELECT ticker, observation_date, {w} AS window_size, stddev_pop(r) OVER (PARTITION BY ticker ORDER BY observation_date ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW) * sqrt(252) * 100 AS volatility_pct FROM logs QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY observation_date) >= {w}" for w in equity.VOL_WINDOWS)
 register("realized_vol", "ticker s, observation_date d, window_size i, volatility_pct f", lambda s, d: equity.realized_volatility(a.prices(s, d)), f"WITH logs AS (SELECT * FROM (SELECT ticker, observation_date, ln(close / lag(close) OVER (PARTITION BY ticker ORDER BY observation_date)) AS r FROM prices) WHERE r IS NOT NULL) {_VOL}", "prices")
+register("credit_rolling", "instrument s, observation_date d, window_size i, value p, change p, zscore f", lambda s, d: k.rolling(a.daily(s, d).select(F.col("series_id").alias("instrument"), "observation_date", (F.col("value") / 1e6).alias("value")), ["instrument"], (5, 63)), rolling_sql("(SELECT series_id AS instrument, observation_date, value / 1e6 AS value FROM daily)", "instrument", [5, 63]), "daily")
+register("curve_rolling", "tenor_label s, observation_date d, window_size i, value f, change f, zscore f", lambda s, d: k.rolling(_curve(s, d).select("tenor_label", F.col("as_of_date").alias("observation_date"), F.col("yield_pct").alias("value")), ["tenor_label"], (21,)), rolling_sql(f"(SELECT tenor_label, as_of_date AS observation_date, yield_pct AS value FROM ({CURVE}))", "tenor_label", [21]), "curve")
