@@ -1,4 +1,4 @@
-"""Where intermediate tables go, and how kernels reach the executors."""
+"""Where intermediate tables go."""
 
 from __future__ import annotations
 
@@ -6,13 +6,8 @@ import gc
 import tempfile
 import uuid
 
-import timeloom
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
-# Kernels travel with the task, so executors need no copy of this package.
-cloudpickle.register_pickle_by_value(timeloom)
-
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; one of our own only where it is unset (tests, local mode)."""
