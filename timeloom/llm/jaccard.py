@@ -340,7 +340,10 @@ def jaccard_components(docs: DataFrame, scratch: Scratch, percent: int = PERCENT
     known = known.select("doc_id", "n", "bitmap", F.coalesce("component", "doc_id").alias("component"))
     known = scratch.save(known, "known")
     open_rows = rows.join(known.select("doc_id", "component"), "doc_id")
-    meet = open_rows.groupBy("block").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("block")
+    # The hashes of one shared passage make blocks of the same members: one of these blocks is searched, the others would find the same.
+    members = [F.count("*").alias("k"), *[F.bit_xor(F.xxhash64("doc_id", F.lit(i))).alias(f"h{i}") for i in (1, 2)]]
+    meet = open_rows.groupBy("block").agg(F.min("component").alias("x"), F.max("component").alias("y"), *members).filter("x < y")
+    meet = meet.groupBy("k", "h1", "h2").agg(F.min("block").alias("block")).select("block")
     meet = scratch.save(meet, "meet")
     parts = F.ceil(F.col("members") / PART).cast("int")
     dealt = rows.join(meet, "block", "left_semi").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
