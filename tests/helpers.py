@@ -15,7 +15,7 @@ def rows_of(table) -> list[tuple]:
         if v is None or v is pd.NA or v is pd.NaT or (isinstance(v, float) and v != v):
             return ""
         if isinstance(v, bool) or type(v).__name__ == "bool_":
-            return str(bool(v))
+            return str(int(v))
         if isinstance(v, str):
             return v
         return f"{float(v):.6g}" if abs(float(v)) < 1e15 else str(int(v))
