@@ -1,9 +1,11 @@
 """Jaccard join of word shingle sets with signature trees (operator 10).
 
 A text's set is its distinct five-word shingles, as 64-bit hashes. Equal sets
-are one class. Two sets can reach the threshold only if their smallest fifth of
-hashes has one in common (prefix filtering), so classes that share such a hash
-form a block; all pairs of a block are searched by a signature tree. Its leaves
+are one class. Two sets that reach the threshold have several of their smallest
+hashes in common (prefix filtering with a longer prefix), so each set may leave
+out some of these hashes, and leaves out those that most sets have: a passage
+that many texts share joins none of them by itself. Classes that share a hash
+left in form a block; all pairs of a block are searched by a signature tree. Its leaves
 are sets, as a bitmap of their hashes and their size; a node holds the OR of its
 bitmaps and the range of its sizes. A dual traversal starts at the pair (root,
 root) and goes down only into pairs of nodes whose largest possible overlap
@@ -13,7 +15,8 @@ Blocks of the smallest hash come first, with texts, and give links at once; a
 block returns a spanning forest. What these links connect needs no more
 comparison, so the exact search over all shared prefix hashes goes only through
 blocks where several components still meet. Blocks are dealt in parts of bounded
-size, and pairs of parts, so that no hash makes a large task.
+size, and pairs of parts, so that no hash makes a large task; parts of a block's
+largest component don't meet one another.
 """
 
 from __future__ import annotations
@@ -35,6 +38,8 @@ BITS = 1024
 FANOUT = 4
 PART = 256
 PART_BYTES = 8 << 20
+#: One hash in so many may be left out of a set's prefix.
+SPARE = 10
 
 
 def shingle_sets(column: pa.Array, k: int = SHINGLE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -64,12 +69,27 @@ def _sums(values: np.ndarray, borders: np.ndarray) -> np.ndarray:
     return total[borders[1:]] - total[borders[:-1]]
 
 
+def _least_shared(n: np.ndarray, percent: int) -> np.ndarray:
+    """The fewest hashes that a set of n shares with one that it is linked to; also the smallest size of that one."""
+    return -((-percent * n) // 100)
+
+
+def spare_hashes(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """By how many hashes the prefix of a set of n is longer than one shared hash needs."""
+    return np.maximum(np.minimum(n // SPARE, _least_shared(n, percent) - 1), 0)
+
+
 def prefix_length(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    return np.where(n > 0, n + 1 + (-percent * n) // 100, 0)
+    """Prefixes of this length of two linked sets share more hashes than the spare ones of either.
+
+    Say that the prefix of the set of n ends first. At most n - prefix_length(n) shared hashes lie
+    behind its end, so at least _least_shared(n) - n + prefix_length(n) = spare_hashes(n) + 1 are in both prefixes.
+    """
+    return np.where(n > 0, n + 1 - _least_shared(n, percent) + spare_hashes(n, percent), 0)
 
 
 def set_table(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, bits: int = BITS) -> DataFrame:
-    """doc_id, n, hi, lo (a 128-bit name of the set), prefix (its smallest hashes), bitmap, fine (a bitmap of two bits and more per hash)."""
+    """doc_id, n, hi, lo (a 128-bit name of the set), prefix (its smallest hashes), spare (how many of them it may leave out), bitmap, fine (a bitmap of two bits and more per hash)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,12 +108,12 @@ def set_table(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, bits: i
                 yield pa.record_batch(
                     [
                         batch.column(0)[first : first + len(n)], pa.array(n, pa.int64()), pa.array(names[0]), pa.array(names[1]),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(textops.signed(prefix))), pa.array([r.tobytes() for r in packed], pa.binary()), pa.array(fine, pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(textops.signed(prefix))), pa.array(spare_hashes(_least_shared(n, percent), percent), pa.int64()), pa.array([r.tobytes() for r in packed], pa.binary()), pa.array(fine, pa.binary()),
                     ],
-                    names=["doc_id", "n", "hi", "lo", "prefix", "bitmap", "fine"],
+                    names=["doc_id", "n", "hi", "lo", "prefix", "spare", "bitmap", "fine"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n long, hi long, lo long, prefix array<long>, bitmap binary, fine binary")
+    return docs.mapInArrow(run, "doc_id long, n long, hi long, lo long, prefix array<long>, spare long, bitmap binary, fine binary")
 
 
 def _fine_bitmap(hashes: np.ndarray) -> bytes:
@@ -303,16 +323,20 @@ def jaccard_components(docs: DataFrame, scratch: Scratch, percent: int = PERCENT
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     sets = scratch.save(set_table(docs, percent=percent), "sets")
-    linkable = sets.filter("n > 0 and doc_id is not null")
+    names = scratch.save(sets.select("doc_id", "n", "hi", "lo"), "names")
+    linkable = names.filter("n > 0 and doc_id is not null")
     classes = scratch.save(linkable.groupBy("hi", "lo", "n").agg(F.min("doc_id").alias("leader")), "classes")
     leaders = sets.join(classes.select("hi", "lo", "n", F.col("leader").alias("doc_id")), ["hi", "lo", "n", "doc_id"])
-    leaders = scratch.save(leaders.dropDuplicates(["doc_id"]).select("doc_id", "n", "prefix", "bitmap", "fine"), "leaders")
-
-    # Prefix hashes of several classes, one of them near enough to its start to be the smaller set of a link.
-    spread = leaders.select("doc_id", "n", F.posexplode("prefix").alias("at", "block")).select("block", "doc_id", (9 * F.col("at") <= F.col("n")).alias("early"))
-    shared = spread.groupBy("block").agg(F.count("*").alias("members"), F.max("early").alias("early")).filter("members > 1 and early")
-    shared = scratch.save(shared.select("block", "members"), "shared")
-    rows = scratch.save(spread.join(shared, "block").select("block", "doc_id", "members"), "rows")
+    leaders = scratch.save(leaders.dropDuplicates(["doc_id"]).select("doc_id", "n", "prefix", "spare", "bitmap", "fine"), "leaders")
+    scratch.drop("sets")
+
+    # Prefix hashes of several classes; each class leaves out its most common ones, in one order for all.
+    spread = leaders.select(F.explode("prefix").alias("block"), "doc_id")
+    shared = scratch.save(spread.groupBy("block").agg(F.count("*").alias("members")).filter("members > 1"), "shared")
+    own = spread.join(shared, "block").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("members", "block"))).alias("own"))
+    kept = F.slice("own", 1, F.greatest(F.size("own") - F.col("spare"), F.lit(0)).cast("int"))["block"]
+    rows = own.join(leaders.select("doc_id", "spare"), "doc_id").select("doc_id", F.explode(kept).alias("block"))
+    rows = scratch.save(rows, "rows")
     scratch.drop("shared")
 
     # The smallest hash first, with texts; what a block of several parts links is searched again without the linked ones.
@@ -341,13 +365,18 @@ def jaccard_components(docs: DataFrame, scratch: Scratch, percent: int = PERCENT
     known = scratch.save(known, "known")
     open_rows = rows.join(known.select("doc_id", "component"), "doc_id")
     # The hashes of one shared passage make blocks of the same members: one of these blocks is searched, the others would find the same.
-    members = [F.count("*").alias("k"), *[F.bit_xor(F.xxhash64("doc_id", F.lit(i))).alias(f"h{i}") for i in (1, 2)]]
-    meet = open_rows.groupBy("block").agg(F.min("component").alias("x"), F.max("component").alias("y"), *members).filter("x < y")
-    meet = meet.groupBy("k", "h1", "h2").agg(F.min("block").alias("block")).select("block")
+    members = [F.bit_xor(F.xxhash64("doc_id", F.lit(i))).alias(f"h{i}") for i in (1, 2)]
+    meet = open_rows.groupBy("block", "component").agg(F.count("*").alias("k"), *members)
+    meet = meet.groupBy("block").agg(F.sum("k").alias("members"), F.max(F.struct("k", "component")).alias("top"), F.count("*").alias("components"), F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2"))
+    meet = meet.filter("components > 1").groupBy("members", "h1", "h2").agg(F.min("block").alias("block"), F.min("top").alias("top"))
+    one = F.col("members") <= PART
+    meet = meet.select("block", F.when(~one, F.col("top.component")).alias("top"), F.when(one, 1).otherwise(F.ceil((F.col("members") - F.col("top.k")) / PART)).cast("int").alias("others"), F.when(one, 0).otherwise(F.ceil(F.col("top.k") / PART)).cast("int").alias("tops"))
     meet = scratch.save(meet, "meet")
-    parts = F.ceil(F.col("members") / PART).cast("int")
-    dealt = rows.join(meet, "block", "left_semi").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    # The parts of other components come first; a row of the largest one meets these, any other row meets all.
+    in_top, deal = F.col("component").eqNullSafe(F.col("top")), F.xxhash64("doc_id", F.lit(1))
+    dealt = open_rows.join(meet, "block")
+    part = F.when(in_top, F.col("others") + F.pmod(deal, F.greatest("tops", F.lit(1)))).otherwise(F.pmod(deal, F.col("others"))).cast("int")
+    dealt = dealt.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.when(in_top, F.col("others") - 1).otherwise(F.col("others") + F.col("tops") - 1))))
     dealt = dealt.select("block", "doc_id", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), (F.col("part") > F.col("other")).cast("int").alias("side"))
     dealt = dealt.join(known, "doc_id").repartition(parts_now, "block", "lo", "hi").sortWithinPartitions("block", "lo", "hi")
     pairs = scratch.save(candidate_blocks(dealt, percent).distinct(), "pairs")
@@ -363,6 +392,6 @@ def jaccard_components(docs: DataFrame, scratch: Scratch, percent: int = PERCENT
 
     answers = classes.join(components, F.col("leader") == F.col("node"), "left").select("hi", "lo", "n", F.coalesce("component", "leader").alias("component_id"))
     answers = scratch.save(answers, "answers")
-    out = sets.select("doc_id", "n", "hi", "lo").join(answers, ["hi", "lo", "n"], "left")
+    out = names.join(answers, ["hi", "lo", "n"], "left")
     own = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
