@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from timeloom.llm import textops
@@ -38,6 +38,8 @@ BITS = 1024
 FANOUT = 4
 PART = 256
 PART_BYTES = 8 << 20
+#: A pair is left to the block that it met in before, if this is among so many before the present one for both.
+EARLIER = 8
 #: One hash in so many may be left out of a set's prefix.
 SPARE = 10
 
@@ -251,8 +253,26 @@ def _small_pairs(heads: np.ndarray, sizes: np.ndarray, maps: np.ndarray, groups:
     return a[keep], b[keep]
 
 
+def _met_before(earlier: pa.ListArray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each pair of rows: have their lists a value in common?"""
+    starts = earlier.offsets.to_numpy()
+    size, values = np.diff(starts), earlier.values.to_numpy()
+    table = np.zeros((len(size), EARLIER), np.int64)
+    filled = np.arange(EARLIER) < size[:, None]
+    table[filled] = values[starts[0] : starts[-1]]
+    out = np.zeros(len(a), bool)
+    for k in range(0, len(a), 1 << 15):
+        x, y = a[k : k + (1 << 15)], b[k : k + (1 << 15)]
+        for i in range(EARLIER):
+            out[k : k + (1 << 15)] |= ((table[x, i][:, None] == table[y]) & filled[x, i][:, None] & filled[y]).any(axis=1)
+    return out
+
+
 def candidate_blocks(blocks: DataFrame, percent: int) -> DataFrame:
-    """(a, b) that may be linked, of different components, from (block, lo, hi, side, doc_id, component, n, bitmap)."""
+    """(a, b) that may be linked, of different components, from (block, lo, hi, side, earlier, doc_id, component, n, bitmap).
+
+    A pair that shares a block of ``earlier`` was found there, as what is asked of a pair doesn't depend on the block.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, heads in textops.whole_groups(batches, ["block", "lo", "hi"]):
@@ -271,7 +291,9 @@ def candidate_blocks(blocks: DataFrame, percent: int) -> DataFrame:
                 continue
             a, b = (np.concatenate(x) for x in zip(*found, strict=True))
             keep = (groups[a] != groups[b]) & ((lo_part[a] == hi_part[a]) | (sides[a] != sides[b]))
-            a, b = ids[a[keep]], ids[b[keep]]
+            a, b = a[keep], b[keep]
+            new = ~_met_before(rows.column("earlier").combine_chunks(), a, b)
+            a, b = ids[a[new]], ids[b[new]]
             both = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1)
             if both.size:
                 yield pa.record_batch([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
@@ -374,10 +396,11 @@ def jaccard_components(docs: DataFrame, scratch: Scratch, percent: int = PERCENT
     meet = scratch.save(meet, "meet")
     # The parts of other components come first; a row of the largest one meets these, any other row meets all.
     in_top, deal = F.col("component").eqNullSafe(F.col("top")), F.xxhash64("doc_id", F.lit(1))
-    dealt = open_rows.join(meet, "block")
+    before = Window.partitionBy("doc_id").orderBy("block").rowsBetween(-EARLIER, -1)
+    dealt = open_rows.join(meet, "block").withColumn("earlier", F.collect_list("block").over(before))
     part = F.when(in_top, F.col("others") + F.pmod(deal, F.greatest("tops", F.lit(1)))).otherwise(F.pmod(deal, F.col("others"))).cast("int")
     dealt = dealt.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.when(in_top, F.col("others") - 1).otherwise(F.col("others") + F.col("tops") - 1))))
-    dealt = dealt.select("block", "doc_id", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), (F.col("part") > F.col("other")).cast("int").alias("side"))
+    dealt = dealt.select("block", "doc_id", "earlier", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), (F.col("part") > F.col("other")).cast("int").alias("side"))
     dealt = dealt.join(known, "doc_id").repartition(parts_now, "block", "lo", "hi").sortWithinPartitions("block", "lo", "hi")
     pairs = scratch.save(candidate_blocks(dealt, percent).distinct(), "pairs")
     fine = leaders.select("doc_id", "n", "fine")
