@@ -335,6 +335,39 @@ def test_token_counts(docs):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_token_counts_with_bare_mark(spark):
+    import sentencepiece
+
+    path = tokenizer_file("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    pieces = {model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
+
+    def greedy(word: str):
+        marked, at, n = "▁" + word, 0, 0
+        while at < len(marked):
+            end = next((e for e in range(len(marked), at, -1) if marked[at:e] in pieces), None)
+            if end is None:
+                return None
+            at, n = end, n + 1
+        return n
+
+    texts = ["ñta ça être ßen hello", "日本語 テキスト 😀", "\U0001f9ff hello ñ", "ñ" * 300, "plain words only", "", None]
+    want = []
+    for i, t in enumerate(texts):
+        n = [greedy(w) for w in (t or "").split()]
+        want.append((i, len(n), sum(1 if x is None else x for x in n), sum(x is None for x in n)))
+    assert greedy("ñta") == 3
+    got = wordpiece.token_counts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, bare_mark=True)
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_query_counts_the_bare_mark(spark, tmp_path):
+    from timeloom.llm import queries
+
+    spark.createDataFrame([(1, "ñta")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert [tuple(r) for r in queries.op7_token_counts(spark, str(tmp_path)).collect()] == [(1, 1, 3, 0)]
+
+
 # 8
 
 def test_toxicity_learns_held_out_texts(spark, scratch):

@@ -64,7 +64,7 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wordpiece.token_counts(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+    return wordpiece.token_counts(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), bare_mark=True)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Greedy word-piece token counts without building pieces (operator 7).
 
 A vocabulary has initial pieces (longest match at the start of a word) and
-continuation pieces (longest match from there on). Both stand in one trie over
+continuation pieces (longest match from there on). An empty initial piece is the
+bare word mark: a piece by itself where no other initial piece fits. Both stand in one trie over
 bytes, the initial ones below the root's start marker. A node that cannot be
 extended by the next byte has a failure link: the node that represents the text
 left over once the longest pieces have been taken off, with the number of pieces
@@ -42,6 +43,8 @@ class LongestMatchCounter:
         size = len(self.step)
         self.link = [-1] * size
         self.popped = [0] * size
+        if b"" in initial:  # the bare mark comes off, and the whole word is left
+            self.link[0], self.popped[0] = 1, 1
         queue = deque()
         for root in (0, 1):
             queue.extend((root, b, child) for b, child in self.step[root].items())
@@ -79,7 +82,7 @@ class LongestMatchCounter:
 
 
 def read_vocabulary(path: str) -> tuple[list[bytes], list[bytes]]:
-    """(initial, continuation) pieces of a sentencepiece model: pieces with and without the word mark."""
+    """(initial, continuation) pieces of a sentencepiece model: pieces with and without the word mark, which is an empty initial piece where it stands alone."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -95,24 +98,27 @@ def read_vocabulary(path: str) -> tuple[list[bytes], list[bytes]]:
     return initial, rest
 
 
-def counter(path: str) -> LongestMatchCounter:
+def counter(path: str, bare_mark: bool = False) -> LongestMatchCounter:
     """One for each worker process, kept between tasks."""
     kept = sys.__dict__.setdefault("_timeloom_counters", {})
-    if path not in kept:
-        kept[path] = LongestMatchCounter(*read_vocabulary(path))
-    return kept[path]
+    if (path, bare_mark) not in kept:
+        initial, rest = read_vocabulary(path)
+        kept[path, bare_mark] = LongestMatchCounter([x for x in initial if x or bare_mark], rest)
+    return kept[path, bare_mark]
 
 
-def token_counts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
+def token_counts(docs: DataFrame, vocabulary_path: str, bare_mark: bool = False) -> DataFrame:
     """doc_id, n_words, n_tokens, n_unknown (long) for each row of docs, over its whole text.
 
     Words are runs of other characters than white space. A word that the pieces
-    can't cover is one unknown token. Null and empty texts have none.
+    can't cover is one unknown token; byte pieces cover nothing. Null and empty
+    texts have none. bare_mark: where no initial piece fits, the vocabulary's bare
+    word mark is one piece and the word goes on with continuation pieces.
     vocabulary_path: a file that every executor has.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(vocabulary_path).count
+        count = counter(vocabulary_path, bare_mark).count
 
         class Known(dict):
             def __missing__(self, word):
