@@ -98,12 +98,13 @@ register("sdmx_payloads", f"{KEYS}, value f", lambda s, d: payloads.sdmx_csv(_li
 register("stooq_payloads", f"{KEYS}, value f", lambda s, d: payloads.stooq(_lines(s, d, "Date,Open,Close", F.col("observation_date").cast("string"), F.lit("1"), F.format_string("%.2f", "value")).withColumn("series_id", F.concat("series_id", F.lit(":close")))), "SELECT series_id || ':close' AS series_id, observation_date, value FROM daily", "daily")
 
 
-def _tiingo(s, d):
-    rows = a.prices(s, d).filter("ticker like '%7'").groupBy(F.col("ticker").alias("series_id")).agg(F.collect_list(F.struct(F.concat(F.col("observation_date").cast("string"), F.lit("T00:00:00Z")).alias("date"), F.col("close").alias("close"), F.col("dividend").alias("divCash"))).alias("o"))
+def _tiingo(prices):
+    rows = prices.groupBy(F.col("ticker").alias("series_id")).agg(F.collect_list(F.struct(F.concat(F.col("observation_date").cast("string"), F.lit("T00:00:00Z")).alias("date"), F.col("close").alias("close"), F.col("dividend").alias("divCash"))).alias("o"))
     return payloads.tiingo(rows.select("series_id", F.to_json("o").alias("payload")))
 
 
-register("unpivot_prices", f"{KEYS}, value p", _tiingo, "SELECT ticker || ':close' AS series_id, observation_date, close AS value FROM prices WHERE ticker LIKE '%7' UNION ALL SELECT ticker || ':divCash', observation_date, dividend FROM prices WHERE ticker LIKE '%7'", "prices")
+register("unpivot_prices", f"{KEYS}, value p", lambda s, d: _tiingo(a.prices(s, d).filter("ticker like '%7'")), "SELECT ticker || ':close' AS series_id, observation_date, close AS value FROM prices WHERE ticker LIKE '%7' UNION ALL SELECT ticker || ':divCash', observation_date, dividend FROM prices WHERE ticker LIKE '%7'", "prices")
+register("unpivot_all_prices", f"{KEYS}, value p", lambda s, d: _tiingo(a.prices(s, d)), "SELECT ticker || ':close' AS series_id, observation_date, close AS value FROM prices UNION ALL SELECT ticker || ':divCash', observation_date, dividend FROM prices", "prices")
 register("vintage_coalesce", f"{KEYS}, realtime_start d, realtime_end d, value f", lambda s, d: payloads.coalesced_vintages(a.vintages(s, d).withColumn("value", F.floor(F.col("value") / 1e6).cast("double"))), "SELECT series_id, observation_date, min(realtime_start) AS realtime_start, max_by(realtime_end_, realtime_start) AS realtime_end, any_value(v) AS value FROM (SELECT *, sum(CASE WHEN v IS DISTINCT FROM pv OR pr IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY series_id, observation_date ORDER BY realtime_start) AS grp FROM (SELECT *, coalesce(realtime_end, DATE '9999-12-31') AS realtime_end_, lag(v) OVER w AS pv, lag(realtime_start) OVER w AS pr FROM (SELECT *, floor(value / 1e6) AS v FROM vintages) WINDOW w AS (PARTITION BY series_id, observation_date ORDER BY realtime_start))) AS t GROUP BY series_id, observation_date, grp".replace("max_by(realtime_end_, realtime_start) AS realtime_end", "nullif(max_by(realtime_end_, realtime_start), DATE '9999-12-31') AS realtime_end"), "vintages")
 
 
