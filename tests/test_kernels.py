@@ -192,3 +192,21 @@ def test_calendar_page():
     found = page.meetings(html)
     assert found == [(D(2031, 1, 29), False), (D(2031, 5, 1), True), (D(2032, 3, 17), True)]
     assert page.changes([D(2031, 1, 29)], [d for d, _ in found])["added"] == [D(2031, 5, 1), D(2032, 3, 17)]
+
+
+def test_pair_forecasts_follow_both_series(spark):
+    rng, start = np.random.default_rng(1), D(2000, 1, 1)
+    y = np.zeros((120, 2))
+    for t in range(1, len(y)):
+        y[t] = [1 + 0.5 * y[t - 1, 0] - 0.8 * y[t - 1, 1], 0.6 * y[t - 1, 0] + 0.1 * y[t - 1, 1]] + rng.normal(0, 0.01, 2)
+    rows = [(name, start + dt.timedelta(days=t), float(y[t, j])) for t in range(len(y)) for j, name in enumerate("ab")]
+    changes = spark.createDataFrame(rows, "series_id string, observation_date date, mom double")
+    found = {(r.series_id, r.horizon): r for r in models.pair_forecasts(changes, spark.createDataFrame([("a", "b"), ("a", "none")], "first string, second string")).collect()}
+    assert len(found) == 8
+    at = y[-1]
+    for h in range(1, 13):
+        at = np.array([1 + 0.5 * at[0] - 0.8 * at[1], 0.6 * at[0] + 0.1 * at[1]])
+        for j, name in enumerate("ab"):
+            if (name, h) in found:
+                r = found[name, h]
+                assert abs(r["mean"] - at[j]) < 0.05 and r.p10 < r["mean"] < r.p90 and r.ar_order <= 4

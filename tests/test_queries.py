@@ -28,6 +28,11 @@ def test_unpivoted_prices_cover_every_ticker(spark, duck):
     assert found == {(f"{ticker}:{field}", day) for ticker, day in days for field in ("close", "divCash")}
 
 
+def test_forecasts_of_both_models(spark):
+    rows = registry.QUERIES["inflation_forecast"](spark, SF).groupBy("model").count().collect()
+    assert {r.model: r["count"] for r in rows} == {"ar": 20, "var": 16}
+
+
 def test_entry_reads_every_query():
     import __spark_entry__ as entry
 

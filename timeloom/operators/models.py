@@ -260,6 +260,52 @@ def forecasts(changes: DataFrame, horizons: Sequence[int] = (1, 3, 6, 12), draws
     return changes.groupBy("series_id").applyInPandas(fit, "series_id string, horizon int, mean double, p10 double, p90 double, ar_order int")
 
 
+def pair_forecasts(changes: DataFrame, pairs: DataFrame, horizons: Sequence[int] = (1, 3, 6, 12), draws: int = 500, seed: int = 42) -> DataFrame:
+    """(series_id, horizon, mean, p10, p90, order): a vector autoregression of two series over their common dates, as in forecasts().
+
+    pairs: (first, second), configuration. Residuals of both series are drawn together. Where equations can't be solved, a number of lags is left out.
+    """
+
+    def design(y: np.ndarray, p: int) -> np.ndarray:
+        return np.column_stack([np.ones(len(y) - p), *[y[p - i : len(y) - i] for i in range(1, p + 1)]])
+
+    def fit(group: pd.DataFrame) -> pd.DataFrame:
+        y = group.sort_values("observation_date")[["x", "y"]].to_numpy(float)
+        names, out, best = group[["first", "second"]].iloc[0].tolist(), [], None
+        for p in range(1, max(1, min(4, len(y) // 8)) + 1):
+            if len(y) - p <= 1 + 2 * p:
+                break
+            x = design(y, p)
+            b, _, rank, _ = np.linalg.lstsq(x, y[p:], rcond=None)
+            if rank < x.shape[1]:
+                continue
+            e = y[p:] - x @ b
+            det = float(np.linalg.det(e.T @ e / len(e)))
+            bic = len(e) * np.log(det) + 2 * (1 + 2 * p) * np.log(len(e)) if det > 0 else np.inf
+            if best is None or bic < best[0]:
+                best = (bic, p, b, e)
+        if best is None:
+            return pd.DataFrame(columns=["series_id", "horizon", "mean", "p10", "p90", "ar_order"])
+        _, p, b, e = best
+        for h in horizons:
+            rng = np.random.default_rng([seed, h, *"|".join(names).encode()])
+            paths = np.tile(y[-p:], (draws + 1, 1, 1))
+            picks = rng.integers(0, len(e), (draws, h))
+            for t in range(h):
+                shocks = np.vstack([np.zeros((1, 2)), e[picks[:, t]]])
+                lags = paths[:, ::-1][:, :p].reshape(draws + 1, 2 * p)
+                paths = np.concatenate([paths, (b[0] + lags @ b[1:] + shocks)[:, None]], axis=1)
+            for j, name in enumerate(names):
+                ends = np.sort(paths[1:, -1, j])
+                out.append((name, h, float(paths[0, -1, j]), float(ends[draws // 10]), float(ends[draws * 9 // 10]), p))
+        return pd.DataFrame(out, columns=["series_id", "horizon", "mean", "p10", "p90", "ar_order"])
+
+    x = changes.select(F.col("series_id").alias("first"), "observation_date", F.col("mom").alias("x"))
+    y = changes.select(F.col("series_id").alias("second"), "observation_date", F.col("mom").alias("y"))
+    rows = x.join(F.broadcast(pairs), "first").join(y, ["second", "observation_date"])
+    return rows.groupBy("first", "second").applyInPandas(fit, "series_id string, horizon int, mean double, p10 double, p90 double, ar_order int")
+
+
 def meeting_path(rates: Sequence[tuple[int, float]], meetings: Sequence[int], step: float = 0.25, rungs: int = 7) -> list[tuple]:
     """Rates implied between meetings by a zero curve, and a ladder of outcomes: (day, before, after, outcome_bps, probability).
 

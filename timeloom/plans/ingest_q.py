@@ -68,7 +68,16 @@ def _implied(s, d):
 register("implied_return", "ticker s, month d, implied f, ret f, residual f", _implied, f"WITH r AS ({_RETURNS}) SELECT r.ticker, r.month, b.n_days * f.score AS implied, r.ret, r.ret - b.n_days * f.score AS residual FROM r ASOF JOIN (SELECT ticker, month, n_days FROM r WHERE month(month) % 4 = 0) b ON b.ticker = r.ticker AND r.month >= b.month JOIN (SELECT observation_date AS month, max(value) FILTER (series_id = 'SEG:AUTOMOBILE') / 1e7 AS score, max(value) FILTER (series_id = 'SEG:BUILDING') AS other FROM monthly GROUP BY 1) f ON f.month = r.month WHERE f.score IS NOT NULL AND f.other IS NOT NULL", "prices monthly")
 register("ns_factors", "as_of_date d, level f, slope f, curvature f, rmse f, n_tenors i", lambda s, d: models.nelson_siegel(_curve(s, d)))
 register("monthly_change", f"{KEYS}, mom f", lambda s, d: models.monthly_change(a.monthly(s, d)), "SELECT series_id, observation_date, (value / prev - 1) * 100 AS mom FROM (SELECT *, lag(value) OVER w AS prev, observation_date - lag(observation_date) OVER w AS gap FROM monthly WINDOW w AS (PARTITION BY series_id ORDER BY observation_date)) AS t WHERE gap BETWEEN 25 AND 40 AND prev > 0", "monthly")
-register("inflation_forecast", "series_id s, horizon i, mean f, p10 f, p90 f, ar_order i", lambda s, d: models.forecasts(models.monthly_change(a.monthly(s, d))))
+FORECAST_PAIRS = [("SEG:AUTOMOBILE", "SEG:BUILDING"), ("SEG:MACHINERY", "SEG:HOUSEHOLD")]
+
+
+def _forecasts(s, d):
+    changes = models.monthly_change(a.monthly(s, d))
+    joint = models.pair_forecasts(changes, config(s, FORECAST_PAIRS, "first string, second string"))
+    return models.forecasts(changes).withColumn("model", F.lit("ar")).unionByName(joint.withColumn("model", F.lit("var")))
+
+
+register("inflation_forecast", "series_id s, horizon i, mean f, p10 f, p90 f, ar_order i, model s", _forecasts)
 register("fomc_path", "day i, before f, after f, outcome_bps f, probability f", lambda s, d: config(s, models.meeting_path([(1, 4.3), (30, 4.25), (90, 4.1), (180, 3.9), (365, 3.6)], [20, 62, 104, 153]), "day int, before double, after double, outcome_bps double, probability double"))
 
 
