@@ -287,6 +287,22 @@ def test_chat(spark, scratch):
     assert by[3, 0].message_json == '{"content":"{broken","role":"assistant"}' and by[None, None].message_json == "{}"
 
 
+def test_chat_calls_without_id(spark, scratch):
+    schemas = chat.tool_schemas(spark, {"search": {"query": ("string", True)}})
+    data = [
+        (1, 0, "assistant", json.dumps({"content": "hi", "tool_calls": [{"id": "a", "name": "search", "arguments": {"query": "q"}}, {"name": "search", "arguments": {"limit": 1}}, None]}), "x"),
+        (1, 1, "tool", result("a"), "x"), (2, 0, "assistant", call((None, "search", {"query": "q"})), "x"),
+        (3, 0, "assistant", call((None, "search", {"query": {"$result": "b"}}), ("b", "search", {"query": "q"})), "x"), (3, 1, "tool", result("b"), "x"),
+    ]
+    by = {(r.conv_id, r.turn): r for r in chat.format_chat(chat_rows(spark, data), schemas, scratch).collect()}
+    told = json.loads(by[1, 0].message_json)
+    assert told["content"] == "hi" and [c.get("id") for c in told["tool_calls"]] == ["a", None, None] and told["tool_calls"][1]["arguments"] == {"limit": 1}
+    assert by[1, 0].n_calls == 3 and by[1, 0].n_linked == 1
+    assert by[1, 0].problems == ["missing:id", "missing:id", "missing:query", "tool", "unknown:limit"]
+    assert by[2, 0].problems == ["missing:id"] and by[2, 0].n_calls == 1
+    assert by[3, 0].problems == ["missing:id"] and by[3, 0].n_linked == 1
+
+
 def test_chat_cycle_ends(spark, scratch):
     data = [(1, 0, "assistant", call(("a", "t", {"x": {"$result": "b"}})), "x"), (1, 1, "tool", result("a"), "x"), (1, 2, "assistant", call(("b", "t", {"x": {"$result": "a"}})), "x"), (1, 3, "tool", result("b"), "x")]
     out = chat.format_chat(chat_rows(spark, data), chat.tool_schemas(spark, {"t": {"x": ("string", True)}}), scratch).collect()

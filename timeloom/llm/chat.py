@@ -60,7 +60,7 @@ def _parsed(messages: DataFrame) -> DataFrame:
     rows = rows.withColumn("mid", F.xxhash64("conv_id", "turn", "role", "text"))
     body = F.when(F.col("role").isin("assistant", "tool") & F.col("text").startswith("{"), F.try_parse_json("text"))
     rows = rows.withColumn("body", body)
-    calls = F.filter(F.try_variant_get("body", "$.tool_calls", f"array<{CALL}>"), lambda c: c["id"].isNotNull())
+    calls = F.try_variant_get("body", "$.tool_calls", f"array<{CALL}>")
     rows = rows.withColumn("calls", F.when(F.col("role") == "assistant", F.when(F.size(calls) > 0, calls)))
     rows = rows.withColumn("result_of", F.when(F.col("role") == "tool", F.try_variant_get("body", "$.tool_call_id", "string")))
     linked = F.col("calls").isNotNull() | F.col("result_of").isNotNull()
@@ -96,7 +96,9 @@ def format_chat(messages: DataFrame, schemas: DataFrame, scratch: Scratch) -> Da
 
     Order a conversation by (at, depth, turn). n_linked: calls that have a
     result. orphan: a result whose call is missing, or that isn't the first of
-    its call. Of calls with the same identifier the earliest counts. Text that
+    its call. Of calls with the same identifier the earliest counts. A call without
+    one stays in its message and links with nothing: its problems are 'missing:id'
+    and those of its arguments, without an identifier before them. Text that
     isn't a JSON object of the forms above, broken JSON included, is content;
     null text has none. Equal rows get equal results; rows without conv_id link
     with nothing. Extra columns are ignored.
@@ -104,8 +106,9 @@ def format_chat(messages: DataFrame, schemas: DataFrame, scratch: Scratch) -> Da
     parsed = scratch.save(_parsed(messages), "parsed")
     calls = parsed.filter("calls is not null").select("conv_id", "turn", "mid", F.posexplode("calls").alias("nth", "call"))
     calls = calls.select("conv_id", "turn", "mid", "nth", "call.*").dropDuplicates(["conv_id", "mid", "nth"])
-    calls = scratch.save(argument_problems(calls, schemas), "calls")
-    first_call = calls.groupBy("conv_id", F.col("id").alias("result_of")).agg(F.min_by("mid", F.struct("turn", "mid")).alias("call_mid"))
+    calls = argument_problems(calls, schemas).withColumn("problems", F.when(F.col("id").isNull(), F.concat(F.array(F.lit("missing:id")), "problems")).otherwise(F.col("problems")))
+    calls = scratch.save(calls, "calls")
+    first_call = calls.filter("id is not null").groupBy("conv_id", F.col("id").alias("result_of")).agg(F.min_by("mid", F.struct("turn", "mid")).alias("call_mid"))
     results = parsed.filter("result_of is not null").select("conv_id", "turn", "mid", "result_of").distinct()
     linked = results.join(first_call, ["conv_id", "result_of"])
     first_result = linked.groupBy("conv_id", "result_of", "call_mid").agg(F.min_by("mid", F.struct("turn", "mid")).alias("result_mid"))
@@ -118,7 +121,7 @@ def format_chat(messages: DataFrame, schemas: DataFrame, scratch: Scratch) -> Da
     placed = _order(parsed, links, scratch)
 
     answered = calls.join(first_result.select("conv_id", F.col("result_of").alias("id"), F.col("call_mid").alias("mid"), "result_mid"), ["conv_id", "id", "mid"], "left")
-    answered = answered.groupBy("mid").agg(F.count("result_mid").alias("n_linked"), F.array_sort(F.flatten(F.collect_list(F.transform("problems", lambda p: F.concat(F.col("id"), F.lit(":"), p))))).alias("problems"))
+    answered = answered.groupBy("mid").agg(F.count("result_mid").alias("n_linked"), F.array_sort(F.flatten(F.collect_list(F.transform("problems", lambda p: F.concat_ws(":", F.col("id"), p))))).alias("problems"))
     out = parsed.join(placed, "mid", "left").join(answered, "mid", "left")
     out = out.join(first_result.select(F.col("result_mid").alias("mid"), F.lit(True).alias("first")).distinct(), "mid", "left")
     ordered = F.transform("calls", lambda c: F.struct(c["arguments"].alias("arguments"), c["id"].alias("id"), c["name"].alias("name")))
