@@ -33,6 +33,28 @@ def test_forecasts_of_both_models(spark):
     assert {r.model: r["count"] for r in rows} == {"ar": 20, "var": 16}
 
 
+def test_meeting_paths_follow_each_days_curve(spark):
+    rows = registry.QUERIES["fomc_path"](spark, SF).collect()
+    curves = {}
+    for r in registry.QUERIES["treasury_curve"](spark, SF).collect():
+        curves.setdefault(r.as_of_date, []).append((r.tenor_months, r.yield_pct))
+    days = [day for day, points in curves.items() if len(points) > 1]
+    assert days and len(rows) == 4 * 7 * len(days) and {r.as_of_date for r in rows} == set(days)
+
+    def zero(points, day):
+        points = sorted((m * 30.4375, y) for m, y in points)
+        if day <= points[0][0] or day >= points[-1][0]:
+            return points[0][1] if day <= points[0][0] else points[-1][1]
+        (m, y), (n, z) = next((p, q) for p, q in zip(points, points[1:]) if p[0] <= day <= q[0])
+        return y + (z - y) * (day - m) / (n - m)
+
+    for r in rows:
+        if r.day == 62:
+            points = curves[r.as_of_date]
+            assert abs(r.before - (zero(points, 62) * 62 - zero(points, 20) * 20) / 42) < 1e-4
+            assert abs(r.after - (zero(points, 104) * 104 - zero(points, 62) * 62) / 42) < 1e-4
+
+
 def test_entry_reads_every_query():
     import __spark_entry__ as entry
 

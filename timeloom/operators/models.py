@@ -326,3 +326,19 @@ def meeting_path(rates: Sequence[tuple[int, float]], meetings: Sequence[int], st
         for rung in range(-(rungs // 2), rungs // 2 + 1):
             out.append((day, before, after, rung * step * 100, (1 - up) if rung == low else up if rung == low + 1 else 0.0))
     return out
+
+
+def meeting_paths(curve: DataFrame, meetings: Sequence[int], days_a_month: float = 30.4375) -> DataFrame:
+    """(as_of_date, day, before, after, outcome_bps, probability): the meeting path of each day's curve of two tenors or more; meetings: days from that day."""
+
+    def paths(group: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for day, rows in group.groupby("as_of_date"):
+            if len(rows) > 1:
+                rates = list(zip(rows["tenor_months"].to_numpy(float) * days_a_month, rows["yield_pct"].to_numpy(float), strict=True))
+                out += [(day, *x) for x in meeting_path(rates, meetings)]
+        return pd.DataFrame(out, columns=["as_of_date", "day", "before", "after", "outcome_bps", "probability"])
+
+    # As in nelson_siegel: days are independent, and a month of them shares one call.
+    rows = curve.filter("yield_pct is not null").withColumn("_month", F.trunc("as_of_date", "month"))
+    return rows.groupBy("_month").applyInPandas(paths, "as_of_date date, day int, before double, after double, outcome_bps double, probability double")

@@ -78,7 +78,8 @@ def _forecasts(s, d):
 
 
 register("inflation_forecast", "series_id s, horizon i, mean f, p10 f, p90 f, ar_order i, model s", _forecasts)
-register("fomc_path", "day i, before f, after f, outcome_bps f, probability f", lambda s, d: config(s, models.meeting_path([(1, 4.3), (30, 4.25), (90, 4.1), (180, 3.9), (365, 3.6)], [20, 62, 104, 153]), "day int, before double, after double, outcome_bps double, probability double"))
+MEETINGS = [20, 62, 104, 153]
+register("fomc_path", "as_of_date d, day i, before f, after f, outcome_bps f, probability f", lambda s, d: models.meeting_paths(_curve(s, d), MEETINGS))
 
 
 def _fred_payloads(s, d):
