@@ -47,7 +47,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their place in the training sequences (operator 1)."""
     scratch = Scratch(spark, "stage5")
-    pieces = packing.tokenized_pieces(docs, tokenizer_file("byte_bpe_50k.json"), CAPACITY)
+    pieces = packing.tokenized_pieces(docs, tokenizer_file("byte_bpe_50k.json"), CAPACITY, added_tokens=True)
     pieces = scratch.save(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
     return packing.pack_best_fit(pieces, "length", CAPACITY, ["doc_id", "piece", "start", "ids_crc32"])
 

@@ -92,6 +92,25 @@ def test_pieces_are_whole_texts_and_packing_has_no_gaps(spark, docs, scratch):
     assert len(places) <= first_fit([r.length for r in placed], 256) + 1
 
 
+def test_query_gives_added_tokens_their_ids(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from timeloom.llm import queries
+
+    t = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
+    assert 50256 in t.encode("end <|endoftext|> of", add_special_tokens=False).ids
+    data = [(0, "end <|endoftext|> of"), (1, "<|endoftext|>"), (2, "a  b <|endoftext|><|endoftext|>  日本 c"), (3, "<|endoftext |> no token"), (4, "plain text"), (5, None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    want = {}
+    for d, text in data:
+        ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        want[d] = (len(ids), zlib.crc32(ids.tobytes()))
+    for placed in (queries.op1_best_fit_packing(spark, str(tmp_path)), corpus_pipeline.pack(spark, docs, str(tmp_path))):
+        assert {r.doc_id: (r.length, r.ids_crc32) for r in placed.collect()} == want
+
+
 def test_packing_nothing(spark, empty, scratch):
     pieces = scratch.save(packing.tokenized_pieces(empty, tokenizer_file("byte_bpe_50k.json"), 64), "none")
     assert packing.pack_best_fit(pieces, "length", 64, ["doc_id"]).count() == 0

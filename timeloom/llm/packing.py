@@ -164,15 +164,19 @@ class ChunkEncoder:
     No token of this vocabulary's pre-tokenizer crosses from a non-space to a
     following space, so a text can be cut before each single space. Where white
     space stands before a space, that is left to the tokenizer as a whole text.
+    added_tokens: so is a text that contains an added token, which then has its own id.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
+        import json
         import re
 
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
+        with open(path, encoding="utf-8") as f:
+            self.added = [t["content"] for t in json.load(f)["added_tokens"]] if added_tokens else []
         self.double = re.compile("[\\s\u180e\u200b\ufeff] ")
         self.fast = self._fast_encoder(path)
         encode, size = self.encode_bytes, CACHED_CHUNKS
@@ -217,6 +221,8 @@ class ChunkEncoder:
         return np.asarray(ids, "<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
+        if any(t in text for t in self.added):
+            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if self.double.search(text):
             return self.encode_bytes(text)
         head, *rest = text.split(" ")
@@ -224,24 +230,26 @@ class ChunkEncoder:
         return (self.encode_bytes(head) if head else b"") + b"".join([cache[x] for x in rest])
 
 
-def encoder(path: str) -> ChunkEncoder:
+def encoder(path: str, added_tokens: bool = False) -> ChunkEncoder:
     """One for each worker process, kept between tasks."""
     kept = sys.__dict__.setdefault("_timeloom_encoders", {})
-    if path not in kept:
-        kept[path] = ChunkEncoder(path)
-    return kept[path]
+    if (path, added_tokens) not in kept:
+        kept[path, added_tokens] = ChunkEncoder(path, added_tokens)
+    return kept[path, added_tokens]
 
 
-def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 0) -> DataFrame:
+def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 0, added_tokens: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids (binary, little-endian unsigned 32-bit).
 
     A document is the ids of its text (null: empty) and end_id. One that is
     longer than capacity is cut into pieces of that length; the first takes what
-    is over. tokenizer_path: a file that every executor has.
+    is over. added_tokens: the tokenizer's added tokens have their own ids where
+    they stand in a text; otherwise they are ordinary text. tokenizer_path: a file
+    that every executor has.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = encoder(tokenizer_path), np.asarray([end_id], "<u4").tobytes()
+        ids_of, end = encoder(tokenizer_path, added_tokens), np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             out, held = ([], [], [], [], []), 0
             for doc, text in zip(batch.column(0), batch.column(1), strict=True):

@@ -25,7 +25,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "op1")
-    pieces = packing.tokenized_pieces(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), CAPACITY)
+    pieces = packing.tokenized_pieces(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), CAPACITY, added_tokens=True)
     pieces = scratch.save(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
     return packing.pack_best_fit(pieces, "length", CAPACITY, ["doc_id", "piece", "start", "ids_crc32"])
 
