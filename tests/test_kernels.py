@@ -210,3 +210,35 @@ def test_pair_forecasts_follow_both_series(spark):
             if (name, h) in found:
                 r = found[name, h]
                 assert abs(r["mean"] - at[j]) < 0.05 and r.p10 < r["mean"] < r.p90 and r.ar_order <= 4
+
+
+@pytest.mark.parametrize("kind", ["count", "no count", "pages", "one"])
+def test_live_reads_every_page(monkeypatch, kind):
+    import json
+    import re
+
+    rows = [{"record_date": f"2020-01-{d:02d}"} for d in range(1, 8)]
+
+    def answer(url, pause):
+        if kind == "one":
+            return "plain text"
+        at = int(re.search(r"at=(\d+)", url)[1])
+        start = 3 * (at - 1) if kind == "pages" else at
+        more = {"count": {"count": 7}, "pages": {"meta": {"total-pages": 3}}}.get(kind, {})
+        return json.dumps({"data": rows[start : start + 3], **more})
+
+    calls = []
+    monkeypatch.setattr(live, "fetch", lambda url, pause: calls.append(url) or answer(url, pause))
+    url = {"one": "http://x/{series}", "pages": "http://x/{series}?at={page}"}.get(kind, "http://x/{series}?at={offset}")
+    reader = live.SeriesReader({"source": "s", "url": url, "series": "A"})
+    out = list(reader.read(reader.partitions()[0]))
+    if kind == "one":
+        assert out == [("s", "A", "plain text")]
+    else:
+        assert [x for _, _, body in out for x in json.loads(body)["data"]] == rows
+        assert len(calls) == 3 + (kind == "no count")
+
+
+def test_live_ends_where_pages_repeat(monkeypatch):
+    monkeypatch.setattr(live, "fetch", lambda url, pause: '{"data": [1]}')
+    assert list(live.pages("http://x?at={offset}", "A", "data")) == ['{"data": [1]}']
