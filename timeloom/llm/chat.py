@@ -14,7 +14,9 @@ One row per message, so a conversation of any length is never one task's work.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from timeloom.llm.runtime import Scratch
@@ -23,6 +25,9 @@ CALL = "struct<id:string,name:string,arguments:variant>"
 #: Types of schema_of_variant that a JSON schema type admits.
 ADMITS = {"integer": "BIGINT", "number": "BIGINT|DOUBLE|DECIMAL.*", "string": "STRING", "boolean": "BOOLEAN", "array": "ARRAY.*", "object": "OBJECT.*"}
 
+#: Waves of the topological order that are read as tables of their own.
+WAVES = 16
+
 
 def tool_schemas(spark: SparkSession, tools: dict[str, dict[str, tuple[str, bool]]]) -> DataFrame:
     """(name, param, type, required) from {tool: {parameter: (type, required)}}."""
@@ -68,27 +73,35 @@ def _parsed(messages: DataFrame) -> DataFrame:
 
 
 def _order(parsed: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
-    """(mid, at, depth) of messages that depend on others: links (conv_id, mid, needs) settled wave by wave.
+    """(conv_id, mid, at, depth) of messages that depend on others or are needed: links (conv_id, mid, needs) settled wave by wave.
 
     at: the turn that the message stands at, its own or a later one; depth: its
     place among those moved to that turn. What waits on itself is never settled
-    and keeps its turn.
+    and keeps its turn. A wave reads the messages settled by the one before and
+    the links that are still open, and writes what is left of these.
     """
-    nodes = parsed.select("mid", "turn").distinct()
-    waiting = links.join(nodes.withColumnRenamed("turn", "own"), "mid")
-    settled = scratch.save(nodes.join(links.select("mid").distinct(), "mid", "left_anti").join(links.select(F.col("needs").alias("mid")).distinct(), "mid", "left_semi").select("mid", F.col("turn").alias("at"), F.lit(0).alias("depth")), "wave0")
-    wave = 0
-    while True:
+    key = ["conv_id", "mid"]
+    nodes = parsed.select(*key, "turn").distinct()
+    place = "struct<at:bigint,depth:bigint>"
+    edges = scratch.save(links.join(nodes.withColumnRenamed("turn", "own"), key).withColumn("found", F.lit(None).cast(place)).withColumn("ready", F.lit(False)), "open0")
+    first = nodes.join(links.select(*key).distinct(), key, "left_anti").join(links.select("conv_id", F.col("needs").alias("mid")).distinct(), key, "left_semi")
+    now = scratch.save(first.select(*key, F.col("turn").alias("at"), F.lit(0).cast("long").alias("depth")), "wave0")
+    waves, wave = [now], 0
+    while now.limit(1).count():
         wave += 1
-        left = waiting.join(settled.select("mid"), "mid", "left_anti")
-        step = left.join(settled.select(F.col("mid").alias("needs"), "at", "depth"), "needs", "left")
-        last = F.max(F.struct("at", "depth"))
-        step = step.groupBy("mid", "own").agg(last.alias("last"), F.bool_and(F.col("at").isNotNull()).alias("ready")).filter("ready")
+        settled = now.select("conv_id", F.col("mid").alias("needs"), F.struct("at", "depth").alias("new"))
+        step = edges.filter("not ready").join(settled, ["conv_id", "needs"], "left").withColumn("found", F.coalesce("found", "new")).drop("new")
+        step = step.withColumn("ready", F.min(F.col("found").isNotNull()).over(Window.partitionBy(*key)))
+        edges = scratch.save(step.select(*key, "needs", "own", "found", "ready"), f"open{wave}")
+        done = edges.filter("ready").groupBy(*key, "own").agg(F.max("found").alias("last"))
         moved = F.col("own") <= F.col("last.at")
-        step = scratch.save(step.select("mid", F.when(moved, F.col("last.at")).otherwise(F.col("own")).alias("at"), F.when(moved, F.col("last.depth") + 1).otherwise(F.lit(0)).alias("depth")), f"wave{wave}")
-        if not step.limit(1).count():
-            return settled
-        settled = scratch.save(settled.unionByName(step), f"settled{wave}")
+        done = done.select(*key, F.when(moved, F.col("last.at")).otherwise(F.col("own")).alias("at"), F.when(moved, F.col("last.depth") + 1).otherwise(F.lit(0)).cast("long").alias("depth"))
+        now = scratch.save(done, f"wave{wave}")
+        scratch.drop(f"open{wave - 1}")
+        waves.append(now)
+        if len(waves) > WAVES:  # so that the plan of a long chain stays small
+            waves = [scratch.save(reduce(DataFrame.unionByName, waves), f"settled{wave}")]
+    return reduce(DataFrame.unionByName, waves)
 
 
 def format_chat(messages: DataFrame, schemas: DataFrame, scratch: Scratch) -> DataFrame:
@@ -120,10 +133,12 @@ def format_chat(messages: DataFrame, schemas: DataFrame, scratch: Scratch) -> Da
     links = scratch.save(links, "needs")
     placed = _order(parsed, links, scratch)
 
+    # A hash names a message inside its conversation only.
+    key = ["conv_id", "mid"]
     answered = calls.join(first_result.select("conv_id", F.col("result_of").alias("id"), F.col("call_mid").alias("mid"), "result_mid"), ["conv_id", "id", "mid"], "left")
-    answered = answered.groupBy("mid").agg(F.count("result_mid").alias("n_linked"), F.array_sort(F.flatten(F.collect_list(F.transform("problems", lambda p: F.concat_ws(":", F.col("id"), p))))).alias("problems"))
-    out = parsed.join(placed, "mid", "left").join(answered, "mid", "left")
-    out = out.join(first_result.select(F.col("result_mid").alias("mid"), F.lit(True).alias("first")).distinct(), "mid", "left")
+    answered = answered.groupBy(F.col("conv_id").alias("_conv"), F.col("mid").alias("_mid")).agg(F.count("result_mid").alias("n_linked"), F.array_sort(F.flatten(F.collect_list(F.transform("problems", lambda p: F.concat_ws(":", F.col("id"), p))))).alias("problems"))
+    out = parsed.join(placed, key, "left").join(answered, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("mid") == F.col("_mid")), "left")
+    out = out.join(first_result.select("conv_id", F.col("result_mid").alias("mid"), F.lit(True).alias("first")).distinct(), key, "left")
     ordered = F.transform("calls", lambda c: F.struct(c["arguments"].alias("arguments"), c["id"].alias("id"), c["name"].alias("name")))
     line = F.to_json(F.struct("content", "role", F.col("result_of").alias("tool_call_id"), ordered.alias("tool_calls")))
     return out.select(

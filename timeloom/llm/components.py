@@ -26,19 +26,17 @@ def _settled(edges: DataFrame) -> bool:
 def connected_components(edges: DataFrame, scratch: Scratch, label: str = "cc") -> DataFrame:
     """(node, component) for each node of edges (a, b) that isn't its component's smallest; a written table."""
     now = edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("lo < hi").distinct()
-    now = scratch.save(now, f"{label}-0", release=False)
+    now = scratch.save(now, f"{label}-0")
     tasks, step = 1 + now.count() // TASK_EDGES, 0  # no step makes more edges than there are
     while not _settled(now):
         step += 1
         both = now.select(F.col("lo").alias("u"), F.col("hi").alias("v")).unionByName(now.select(F.col("hi").alias("u"), F.col("lo").alias("v")))
-        least = scratch.save(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).coalesce(tasks), f"{label}-l{step}", release=False)
+        least = scratch.save(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).coalesce(tasks), f"{label}-l{step}")
         large = now.select(F.col("lo").alias("u"), F.col("hi").alias("v")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = scratch.save(large.distinct().coalesce(tasks), f"{label}-m{step}", release=False)
-        least2 = scratch.save(large.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks), f"{label}-n{step}", release=False)
+        large = scratch.save(large.distinct().coalesce(tasks), f"{label}-m{step}")
+        least2 = scratch.save(large.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks), f"{label}-n{step}")
         small = large.join(least2, "u").filter("v != m").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
         small = small.unionByName(least2.select(F.col("u").alias("hi"), F.col("m").alias("lo"))).distinct()
-        now = scratch.save(small.coalesce(tasks), f"{label}-{step}", release=False)
-        for name in ("l", "m", "n"):
-            scratch.drop(f"{label}-{name}{step}")
-        scratch.drop(f"{label}-{step - 1}")
+        now = scratch.save(small.coalesce(tasks), f"{label}-{step}")
+        scratch.drop(*[f"{label}-{name}{step}" for name in "lmn"], f"{label}-{step - 1}")
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("component"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timeloom.llm import chat, jaccard, mixing, packing, pii, quality, repeats, toxicity, vectors, wordpiece
@@ -58,8 +58,49 @@ TOOLS = {
 }
 
 
+def with_tool_calls(conversations: DataFrame) -> DataFrame:
+    """conversations, all rows of it, with tool calls and results: the given ones have none.
+
+    By a rule on conversation and turn, most assistant messages become calls of
+    four kinds (well formed, ill typed, incomplete, of an unknown tool), some with
+    a reference to the result of a call two turns later, with a second call under
+    an earlier call's identifier or with one that has none; and most user
+    messages become results: of the call before, of the call behind, of no call.
+    Message and result contents are the given texts, whole.
+    """
+    h, turn, text = F.pmod(F.col("conv_id") * 7 + F.col("turn") * 3, F.lit(20)), F.col("turn"), F.col("text")
+
+    def name_of(shift: int) -> Column:
+        return F.concat(F.lit("c"), (turn + shift).cast("string"))
+
+    def call(ident: Column | None, name: str, **arguments: Column) -> Column:
+        body = F.to_json(F.struct(*[c.alias(k) for k, c in arguments.items()])) if arguments else F.lit("{}")
+        head = F.to_json(F.struct(*([ident.alias("id")] if ident is not None else []), F.lit(name).alias("name")))
+        return F.concat(F.substr(head, F.lit(1), F.length(head) - 1), F.lit(',"arguments":'), body, F.lit("}"))
+
+    first, query = name_of(0), F.substr(text, F.lit(1), F.lit(12))
+    later = F.struct(name_of(2).alias("$result"))
+    search = F.when((h == 0) & (turn % 4 < 2), call(first, "search", limit=turn, query=later)).when(h < 8, call(first, "search", limit=turn, query=query)).otherwise(call(first, "search", limit=F.lit("many"), query=query))
+    calculate = F.when(h < 10, call(first, "calculate", expression=F.substr(text, F.lit(1), F.lit(8)))).otherwise(call(first, "calculate"))
+    fetch = F.when(h < 12, call(first, "fetch", depth=F.lit(1), url=F.lit("u"))).otherwise(call(first, "fetch", url=F.lit(5)))
+    own = F.when(h % 4 == 0, search).when(h % 4 == 1, calculate).when(h % 4 == 2, fetch).otherwise(call(first, "lookup"))
+    again = F.when((h % 6 == 0) & (turn % 4 > 1), call(name_of(-2), "search", query=F.lit("again")))
+    calls = F.array_compact(F.array(F.when(h % 5 != 4, own), again, F.when(h % 7 == 0, call(None, "calculate", expression=F.lit("1+1")))))
+    content = F.coalesce(F.to_json(F.struct(text.alias("content"))), F.lit("{}"))
+
+    def inside(start: Column, field: str, value: Column) -> Column:
+        return F.concat(F.substr(start, F.lit(1), F.length(start) - 1), F.when(F.length(start) > 2, ",").otherwise(""), F.lit(f'"{field}":'), value, F.lit("}"))
+
+    asked = inside(content, "tool_calls", F.concat(F.lit("["), F.array_join(calls, ","), F.lit("]")))
+    answers = F.when(h % 3 == 1, name_of(-1)).when(h % 6 == 2, name_of(1)).otherwise(F.lit("gone"))
+    told = inside(content, "tool_call_id", F.concat(F.lit('"'), answers, F.lit('"')))
+    is_call, is_result = (F.col("role") == "assistant") & (F.size(calls) > 0), (F.col("role") == "user") & (turn > 0) & (h % 3 != 0)
+    return conversations.select("conv_id", "turn", F.when(is_result, "tool").otherwise(F.col("role")).alias("role"), F.when(is_call, asked).when(is_result, told).otherwise(text).alias("text"))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    told = chat.format_chat(_table(spark, sf_dir, "conversations"), chat.tool_schemas(spark, TOOLS), Scratch(spark, "op6"))
+    """Every conversation, with tool calls (see with_tool_calls), linked, ordered, checked and serialised; cases as in chat.format_chat."""
+    told = chat.format_chat(with_tool_calls(_table(spark, sf_dir, "conversations")), chat.tool_schemas(spark, TOOLS), Scratch(spark, "op6"))
     return told.withColumn("problems", F.array_join("problems", ","))
 
 
@@ -94,6 +135,36 @@ reach(node, seen) AS (
 ),
 components AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)"""
 
+
+
+def _chat_sql() -> str:
+    """The rows of op6 by joins over the calls and results of with_tool_calls; dependencies there are at most three messages deep."""
+    places = [f"""p{i + 1} AS (SELECT n.conv_id, n.turn, CASE WHEN n.turn <= m.last.at THEN m.last.at ELSE n.turn END AS at, CASE WHEN n.turn <= m.last.at THEN m.last.depth + 1 ELSE 0 END AS depth
+  FROM rows n LEFT JOIN (SELECT l.conv_id, l.turn, max({{'at': p.at, 'depth': p.depth}}) AS last FROM needs l JOIN p{i} p ON p.conv_id = l.conv_id AND p.turn = l.needs GROUP BY 1, 2) m ON m.conv_id = n.conv_id AND m.turn = n.turn)""" for i in range(4)]
+    return """
+WITH rows AS (SELECT conv_id, turn, text, (conv_id * 7 + turn * 3) % 20 AS h, CASE WHEN role = 'user' AND turn > 0 AND ((conv_id * 7 + turn * 3) % 20) % 3 <> 0 THEN 'tool' ELSE role END AS role FROM conversations),
+own AS (SELECT conv_id, turn, 1 AS nth, 'c' || turn AS id, ['search', 'calculate', 'fetch', 'lookup'][h % 4 + 1] AS name, CASE WHEN h = 0 AND turn % 4 < 2 THEN 'c' || (turn + 2) END AS wants,
+  CASE h % 4 WHEN 0 THEN '{"limit":' || CASE WHEN h < 8 THEN CAST(turn AS VARCHAR) ELSE '"many"' END || ',"query":' || CASE WHEN h = 0 AND turn % 4 < 2 THEN '{"$result":"c' || (turn + 2) || '"}' ELSE CAST(to_json(substr(text, 1, 12)) AS VARCHAR) END || '}'
+    WHEN 1 THEN CASE WHEN h < 10 THEN '{"expression":' || CAST(to_json(substr(text, 1, 8)) AS VARCHAR) || '}' ELSE '{}' END WHEN 2 THEN CASE WHEN h < 12 THEN '{"depth":1,"url":"u"}' ELSE '{"url":5}' END ELSE '{}' END AS arguments,
+  CASE h % 4 WHEN 0 THEN CASE WHEN h >= 8 THEN 'type:limit' END WHEN 1 THEN CASE WHEN h >= 10 THEN 'missing:expression' END WHEN 2 THEN CASE WHEN h < 12 THEN 'unknown:depth' ELSE 'type:url' END ELSE 'tool' END AS problem FROM rows WHERE role = 'assistant' AND h % 5 <> 4),
+calls AS (SELECT * FROM own
+  UNION ALL SELECT conv_id, turn, 2, 'c' || (turn - 2), 'search', NULL, '{"query":"again"}', NULL FROM rows WHERE role = 'assistant' AND h % 6 = 0 AND turn % 4 > 1
+  UNION ALL SELECT conv_id, turn, 3, NULL, 'calculate', NULL, '{"expression":"1+1"}', 'missing:id' FROM rows WHERE role = 'assistant' AND h % 7 = 0),
+results AS (SELECT conv_id, turn, CASE WHEN h % 3 = 1 THEN 'c' || (turn - 1) WHEN h % 6 = 2 THEN 'c' || (turn + 1) ELSE 'gone' END AS id FROM rows WHERE role = 'tool'),
+first_call AS (SELECT conv_id, id, min(turn) AS call_turn FROM calls WHERE id IS NOT NULL GROUP BY 1, 2),
+linked AS (SELECT r.*, c.call_turn FROM results r JOIN first_call c ON c.conv_id = r.conv_id AND c.id = r.id),
+answer AS (SELECT conv_id, id, call_turn, min(turn) AS result_turn FROM linked GROUP BY 1, 2, 3),
+needs AS (SELECT c.conv_id, c.turn, a.result_turn AS needs FROM calls c JOIN answer a ON a.conv_id = c.conv_id AND a.id = c.wants UNION SELECT conv_id, turn, call_turn FROM linked),
+p0 AS (SELECT conv_id, turn, turn AS at, 0 AS depth FROM rows),
+""" + ",\n".join(places) + """,
+told AS (SELECT c.conv_id, c.turn, count(*) AS n_calls, count(a.result_turn) AS n_linked, array_to_string(list_sort(list(CASE WHEN c.id IS NULL THEN problem ELSE c.id || ':' || problem END) FILTER (problem IS NOT NULL)), ',') AS problems,
+  string_agg('{"arguments":' || arguments || CASE WHEN c.id IS NULL THEN '' ELSE ',"id":"' || c.id || '"' END || ',"name":"' || name || '"}', ',' ORDER BY nth) AS lines FROM calls c LEFT JOIN answer a ON a.conv_id = c.conv_id AND a.id = c.id AND a.call_turn = c.turn GROUP BY 1, 2)
+SELECT r.conv_id, r.turn, r.role, p.at, CAST(p.depth AS BIGINT) AS depth,
+  '{"content":' || CAST(to_json(r.text) AS VARCHAR) || ',"role":"' || r.role || '"' || CASE WHEN s.id IS NULL THEN '' ELSE ',"tool_call_id":"' || s.id || '"' END || CASE WHEN t.lines IS NULL THEN '' ELSE ',"tool_calls":[' || t.lines || ']' END || '}' AS message_json,
+  CAST(coalesce(t.n_calls, 0) AS BIGINT) AS n_calls, CAST(coalesce(t.n_linked, 0) AS BIGINT) AS n_linked, coalesce(t.problems, '') AS problems, s.id IS NOT NULL AND a.result_turn IS NULL AS orphan
+FROM rows r JOIN p4 p ON p.conv_id = r.conv_id AND p.turn = r.turn LEFT JOIN told t ON t.conv_id = r.conv_id AND t.turn = r.turn LEFT JOIN results s ON s.conv_id = r.conv_id AND s.turn = r.turn LEFT JOIN answer a ON a.conv_id = s.conv_id AND a.id = s.id AND a.result_turn = s.turn"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_substring_dedup": f"""
 WITH words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -120,9 +191,7 @@ ahead AS (SELECT d.*, t.source_size, t.target, coalesce(sum(d.size) OVER (PARTIT
   FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
 parts AS (SELECT *, greatest(0, least(size, CAST(floor(target) AS BIGINT) - epochs * source_size - before)) AS part FROM ahead)
 SELECT doc_id, size, source_size, target, CAST(epochs * size + part AS BIGINT) AS taken, CAST(epochs AS BIGINT) AS epochs, CAST(part AS BIGINT) AS part FROM parts""",
-    "op6_chat_formatting": """
-SELECT conv_id, turn, role, turn AS at, CAST(0 AS BIGINT) AS depth, '{"content":' || CAST(to_json(text) AS VARCHAR) || ',"role":' || CAST(to_json(role) AS VARCHAR) || '}' AS message_json,
-  CAST(0 AS BIGINT) AS n_calls, CAST(0 AS BIGINT) AS n_linked, '' AS problems, false AS orphan FROM conversations""",
+    "op6_chat_formatting": _chat_sql(),
     "op9_embedding_near_dedup": f"""
 WITH RECURSIVE links(a, b) AS (
   SELECT x.vec_id, y.vec_id FROM embeddings x JOIN embeddings y ON x.label = y.label AND x.vec_id <> y.vec_id
