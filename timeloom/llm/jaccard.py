@@ -5,8 +5,8 @@ are one class. Two sets that reach the threshold have several of their smallest
 hashes in common (prefix filtering with a longer prefix), so each set may leave
 out some of these hashes, and leaves out those that most sets have: a passage
 that many texts share joins none of them by itself. Classes that share a hash
-left in form a block; all pairs of a block are searched by a signature tree. Its leaves
-are sets, as a bitmap of their hashes and their size; a node holds the OR of its
+left in form a block; every block is searched by a signature tree of its own. The
+leaves are sets, as a bitmap of their hashes and their size; a node holds the OR of its
 bitmaps and the range of its sizes. A dual traversal starts at the pair (root,
 root) and goes down only into pairs of nodes whose largest possible overlap
 reaches what the threshold asks for.
@@ -139,45 +139,60 @@ def may_reach(a: bytes, n_a: int, b: bytes, n_b: int, percent: int) -> bool:
     return (100 + percent) * both >= percent * (n_a + n_b)
 
 
-class SignatureTree:
-    """Sets as leaves, ordered by size; a node's OR bitmap, size range, largest excess of size over bits, component range."""
+class SignatureForest:
+    """A signature tree for each of many blocks, level by level side by side.
 
-    def __init__(self, sizes: np.ndarray, bitmaps: np.ndarray, groups: np.ndarray):
-        self.order = np.lexsort((groups, sizes))
-        s, b, g = sizes[self.order], bitmaps[self.order], groups[self.order]
-        excess = s - np.bitwise_count(b).sum(axis=1, dtype=np.int64)
-        self.levels = [(b, s, s, excess, g, g)]
-        while len(self.levels[-1][1]) > 1:
+    Leaves are sets, ordered by size in their block; a node holds the OR of its
+    bitmaps, its size range, the largest excess of size over bits and its
+    component range. Blocks of two and of thousands go the same way: a small
+    tree's root just stands on every level above its own height.
+    """
+
+    def __init__(self, blocks: np.ndarray, sizes: np.ndarray, bitmaps: np.ndarray, groups: np.ndarray):
+        self.order = np.lexsort((groups, sizes, blocks))
+        owner, s, b, g = (x[self.order] for x in (blocks, sizes, bitmaps, groups))
+        self.levels = [(b, s, s, s - np.bitwise_count(b).sum(axis=1, dtype=np.int64), g, g)]
+        self.children: list[tuple[np.ndarray, np.ndarray]] = []  # of each level above the leaves: first child and number of children
+        while (owner[1:] == owner[:-1]).any():
+            head = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            within = np.arange(len(owner)) - np.repeat(head, np.diff(np.append(head, len(owner))))
+            at = np.flatnonzero(within % FANOUT == 0)
             b, low, high, excess, glow, ghigh = self.levels[-1]
-            at = np.arange(0, len(low), FANOUT)
             self.levels.append((np.bitwise_or.reduceat(b, at), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.maximum.reduceat(excess, at), np.minimum.reduceat(glow, at), np.maximum.reduceat(ghigh, at)))
+            self.children.append((at, np.diff(np.append(at, len(owner)))))
+            owner = owner[at]
 
     def pairs(self, percent: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of sets of different groups that may reach percent of Jaccard similarity."""
-        a = b = np.zeros(1, np.int64)
+        """Pairs of sets of one block and different groups that may reach percent of Jaccard similarity."""
+        if not self.children:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        a = b = np.arange(len(self.levels[-1][1]))
         for depth in range(len(self.levels) - 1, -1, -1):
-            bitmap, low, high, excess, glow, ghigh = self.levels[depth]
-            keep = np.ones(len(a), bool)
-            for lo in range(0, len(a), 1 << 15):
-                x, y = a[lo : lo + (1 << 15)], b[lo : lo + (1 << 15)]
-                near = percent * np.maximum(low[x], low[y]) <= 100 * np.minimum(high[x], high[y])
-                both = np.bitwise_count(bitmap[x] & bitmap[y]).sum(axis=1, dtype=np.int64) + np.minimum(excess[x], excess[y])
-                both = np.minimum(both, np.minimum(high[x], high[y]))
-                near &= (100 + percent) * both >= percent * (low[x] + low[y])
-                near &= (glow[x] != glow[y]) | (ghigh[x] != ghigh[y]) | (glow[x] != ghigh[x])
-                keep[lo : lo + (1 << 15)] = near
+            keep = self._may_reach(depth, a, b, percent)
             a, b = a[keep], b[keep]
             if not depth:
                 break
-            n = len(self.levels[depth - 1][1])
+            first, count = self.children[depth - 1]
             i, j = (v.ravel() for v in np.meshgrid(np.arange(FANOUT), np.arange(FANOUT), indexing="ij"))
-            x, y = (a[:, None] * FANOUT + i).ravel(), (b[:, None] * FANOUT + j).ravel()
-            inside = (x < n) & (y < n) & (x <= y) if depth > 1 else (x < n) & (y < n) & (x < y)
+            x, y = first[a][:, None] + i, first[b][:, None] + j
+            inside = (i < count[a][:, None]) & (j < count[b][:, None]) & ((x <= y) if depth > 1 else (x < y))
             a, b = x[inside], y[inside]
-        if len(self.levels) == 1:
-            a = b = np.empty(0, np.int64)
         return self.order[a], self.order[b]
 
+    def _may_reach(self, depth: int, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+        bitmap, low, high, excess, glow, ghigh = self.levels[depth]
+        keep = np.empty(len(a), bool)
+        for at in range(0, len(a), 1 << 15):
+            x, y = a[at : at + (1 << 15)], b[at : at + (1 << 15)]
+            near = percent * np.maximum(low[x], low[y]) <= 100 * np.minimum(high[x], high[y])
+            near &= (glow[x] != glow[y]) | (ghigh[x] != ghigh[y]) | (glow[x] != ghigh[x])
+            u, v = x[near], y[near]
+            both = np.bitwise_count(bitmap[u] & bitmap[v]).sum(axis=1, dtype=np.int64) + np.minimum(excess[u], excess[v])
+            both = np.minimum(both, np.minimum(high[u], high[v]))
+            near[near] = (100 + percent) * both >= percent * (low[u] + low[v])
+            keep[at : at + (1 << 15)] = near
+        return keep
+
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Do two sorted arrays of distinct values reach percent of Jaccard similarity?"""
@@ -208,51 +223,29 @@ def link_blocks(blocks: DataFrame, percent: int) -> DataFrame:
             ids, sizes = rows.column("doc_id").to_numpy(), rows.column("n").to_numpy()
             maps, texts = rows.column("bitmap").combine_chunks(), rows.column("text").combine_chunks()
             out = ([], [])
-            for lo, hi in zip(heads[:-1], heads[1:], strict=True):
-                n = int(hi - lo)
-                if n < 2:
-                    continue
-                own = ids[lo:hi]
-                a, b = SignatureTree(sizes[lo:hi], _bitmaps(maps.slice(lo, n)), own).pairs(percent)
-                if not len(a):
-                    continue
+            owner = np.repeat(np.arange(len(heads) - 1), np.diff(heads))
+            a, b = SignatureForest(owner, sizes, _bitmaps(maps), ids).pairs(percent)
+            by_block = np.argsort(owner[a], kind="stable")
+            a, b = a[by_block], b[by_block]
+            cuts = np.searchsorted(owner[a], np.unique(owner[a]))
+            for lo, hi in zip(cuts, [*cuts[1:], len(a)], strict=False):
+                need, at = np.unique(np.concatenate((a[lo:hi], b[lo:hi])), return_inverse=True)
                 sets: list[np.ndarray] = []
-                for _, borders, hashes in shingle_sets(texts.slice(lo, n)):
+                for _, borders, hashes in shingle_sets(texts.take(pa.array(need))):
                     sets += [hashes[i:j] for i, j in zip(borders[:-1], borders[1:], strict=True)]
-                parent = np.arange(n)
-                for i, j in zip(a.tolist(), b.tolist(), strict=True):
+                parent = np.arange(len(need))
+                for i, j in at.reshape(2, -1).T.tolist():
                     x, y = _find(parent, i), _find(parent, j)
                     if x != y and similar(sets[i], sets[j], percent):
                         parent[max(x, y)] = min(x, y)
-                        out[0].append(int(own[i]))
-                        out[1].append(int(own[j]))
+                        out[0].append(int(ids[need[i]]))
+                        out[1].append(int(ids[need[j]]))
             if out[0]:
                 yield pa.record_batch([pa.array(out[0]), pa.array(out[1])], names=["a", "b"])
 
     return blocks.mapInArrow(run, "a long, b long")
 
 
-def _small_pairs(heads: np.ndarray, sizes: np.ndarray, maps: np.ndarray, groups: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs that may reach percent, for blocks so small that a tree is a root and its leaves."""
-    lo, n = heads[:, 0], heads[:, 1] - heads[:, 0]
-    at = [[], []]
-    for m in np.unique(n):
-        i, j = np.triu_indices(int(m), 1)
-        start = lo[n == m][:, None]
-        at[0].append((start + i).ravel())
-        at[1].append((start + j).ravel())
-    a, b = (np.concatenate(x) for x in at)
-    excess = sizes - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
-    near = (groups[a] != groups[b]) & (percent * np.maximum(sizes[a], sizes[b]) <= 100 * np.minimum(sizes[a], sizes[b]))
-    a, b = a[near], b[near]
-    keep = np.zeros(len(a), bool)
-    for k in range(0, len(a), 1 << 15):
-        x, y = a[k : k + (1 << 15)], b[k : k + (1 << 15)]
-        both = np.bitwise_count(maps[x] & maps[y]).sum(axis=1, dtype=np.int64) + np.minimum(excess[x], excess[y])
-        keep[k : k + (1 << 15)] = (100 + percent) * np.minimum(both, np.minimum(sizes[x], sizes[y])) >= percent * (sizes[x] + sizes[y])
-    return a[keep], b[keep]
-
-
 def _met_before(earlier: pa.ListArray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For each pair of rows: have their lists a value in common?"""
     starts = earlier.offsets.to_numpy()
@@ -278,18 +271,7 @@ def candidate_blocks(blocks: DataFrame, percent: int) -> DataFrame:
         for rows, heads in textops.whole_groups(batches, ["block", "lo", "hi"]):
             ids, groups, sizes, sides, lo_part, hi_part = (rows.column(c).to_numpy() for c in ("doc_id", "component", "n", "side", "lo", "hi"))
             maps = _bitmaps(rows.column("bitmap").combine_chunks())
-            spans = np.stack((heads[:-1], heads[1:]), axis=1)
-            count = spans[:, 1] - spans[:, 0]
-            found = []
-            small = spans[(count > 1) & (count <= 2 * FANOUT)]
-            if len(small):
-                found.append(_small_pairs(small, sizes, maps, groups, percent))
-            for lo, hi in spans[count > 2 * FANOUT]:
-                a, b = SignatureTree(sizes[lo:hi], maps[lo:hi], groups[lo:hi]).pairs(percent)
-                found.append((a + lo, b + lo))
-            if not found:
-                continue
-            a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+            a, b = SignatureForest(np.repeat(np.arange(len(heads) - 1), np.diff(heads)), sizes, maps, groups).pairs(percent)
             keep = (groups[a] != groups[b]) & ((lo_part[a] == hi_part[a]) | (sides[a] != sides[b]))
             a, b = a[keep], b[keep]
             new = ~_met_before(rows.column("earlier").combine_chunks(), a, b)

@@ -1,7 +1,7 @@
 """Mixing sources to target weights (operator 3).
 
 Documents of a source stand in the order of a hash of their id. That order is
-dealt into fixed key ranges, whose token sums give each range its starting
+dealt into key ranges, as many as the number of rows asks for, whose token sums give each range its starting
 point (a distributed prefix sum); within a range a running sum gives each
 document's. A source's budget then cuts that order at an exact word: whole
 epochs first, and the rest from the front of the order.
@@ -9,11 +9,15 @@ epochs first, and the rest from the front of the order.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from timeloom.llm.runtime import Scratch
 
+#: Rows of a source that share a key range.
+RANGE_ROWS = 20_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -42,7 +46,7 @@ def source_targets(spark, sizes: DataFrame, weights: tuple[int, ...], most_epoch
     cap = F.lit(most_epochs) * F.col("_source_size")
     total = order.agg(F.sum("_source_size")).first()[0] or 0
     level, seen = 0.0, None
-    while True:  # the level rises each time; it stays when no source is above its cap
+    while True:  # the level rises each time; it stays when no source is above its cap: a few steps over one row per source
         above = cap.cast("double") < F.lit(level) * F.col("_weight")
         now = order.agg(F.sum(F.when(above, cap)), F.sum(F.when(~above, F.col("_weight")))).first()
         now = (now[0] or 0, now[1] or 0)
@@ -53,33 +57,38 @@ def source_targets(spark, sizes: DataFrame, weights: tuple[int, ...], most_epoch
     return order.select("_source", "_source_size", target.alias("_target"))
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most_epochs: int = 3, seed: str = "mix-1", keep: tuple[str, ...] = ("doc_id",), range_digits: int = 3) -> DataFrame:
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most_epochs: int = 3, seed: str = "mix-1", keep: tuple[str, ...] = ("doc_id",), range_rows: int = RANGE_ROWS) -> DataFrame:
     """The columns in keep, and size, source_size, target, taken, epochs, part for each row of docs.
 
     taken = epochs * size + part, the words that the mix takes of a document;
     part is less than size only for the one document in which its source's
-    budget ends. Null text has no words, null source is a source, null ids share
-    a place in the order; rows that are equal are interchangeable. Columns of
-    docs with such names as the results don't matter unless kept.
+    budget ends. Null and empty texts have no words, null source is a source, rows
+    with null ids stand in the order by their texts; rows that are equal are
+    interchangeable; an empty table gives an empty result. Columns of docs with
+    such names as the results don't matter unless kept. range_rows: about so many
+    rows share a key range, and so a task, however large a source is.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mix")
-    key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    ident = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.xxhash64("text", "source").cast("string")))
     rows = docs.select(
-        F.struct(*[F.col(c) for c in keep]).alias("_row"), F.col("source").alias("_source"), F.col("doc_id").alias("_id"),
-        word_count(F.col("text")).alias("_size"), key.alias("_key"), F.substring(key, 1, range_digits).alias("_range"),
+        F.struct(*[F.col(c) for c in keep]).alias("_row"), F.struct(F.col("source").isNull().alias("missing"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("name")).alias("_from"),
+        F.col("doc_id").alias("_id"), word_count(F.col("text")).alias("_size"), F.md5(F.concat(F.lit(seed + ":"), ident).cast("binary")).alias("_key"),
     )
-    ranges = scratch.save(rows.groupBy("_source", "_range").agg(F.sum("_size").alias("_words")), "ranges")
-    sizes = ranges.groupBy("_source").agg(F.sum("_words").alias("_source_size"))
+    rows = scratch.save(rows, "rows")  # texts are read, and their words counted, once
+    digits = max(1, math.ceil(math.log(max(rows.count() / range_rows, 1), 16)))
+    rows = rows.withColumn("_range", F.substring("_key", 1, digits))
+    ranges = scratch.save(rows.groupBy("_from", "_range").agg(F.sum("_size").alias("_words")), "ranges")
+    name = F.when(~F.col("_from.missing"), F.col("_from.name")).alias("_source")
+    sizes = ranges.groupBy("_from").agg(F.sum("_words").alias("_source_size")).select(name, "_source_size")
     targets = source_targets(spark, sizes, weights, most_epochs, scratch)
-    earlier = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranges.select(F.col("_source").alias("_s"), F.col("_range").alias("_r"), F.coalesce(F.sum("_words").over(earlier), F.lit(0)).alias("_start"))
-    targets = targets.withColumnRenamed("_source", "_t")
-    starts = starts.join(targets, F.col("_s").eqNullSafe(F.col("_t"))).drop("_t")
-
-    ahead = Window.partitionBy("_source", "_range").orderBy("_key", "_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_ahead", F.coalesce(F.sum("_size").over(ahead), F.lit(0)))
-    rows = rows.join(starts, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r")))
+    targets = targets.select(F.struct(F.col("_source").isNull().alias("missing"), F.coalesce("_source", F.lit("")).alias("name")).alias("_from"), "_source_size", "_target")
+    earlier = Window.partitionBy("_from").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.select("_from", "_range", F.coalesce(F.sum("_words").over(earlier), F.lit(0)).alias("_start")).join(targets, "_from")
+
+    # The running sum and the join have the same keys: rows are shuffled once.
+    ahead = Window.partitionBy("_from", "_range").orderBy("_key", "_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_ahead", F.coalesce(F.sum("_size").over(ahead), F.lit(0))).join(starts, ["_from", "_range"])
     budget = F.floor("_target").cast("long")
     epochs = F.when(F.col("_source_size") > 0, F.expr("cast(floor(_target) as long) div _source_size")).otherwise(F.lit(0)).cast("long")
     rest = budget - epochs * F.col("_source_size")

@@ -118,43 +118,43 @@ def pack_best_fit(items: DataFrame, length: str, capacity: int, order: list[str]
 
     items: read several times, so it should be a written table. order: columns
     that tell items apart; rows equal in all of them are interchangeable. An
-    empty table gives an empty result. A length outside 1..capacity raises.
+    empty table gives an empty result. A length outside 1..capacity, or null,
+    raises. Columns of items may have any names; those called sequence_id and
+    offset are replaced.
     """
     spark = items.sparkSession
-    stats = items.agg(F.count("*").alias("n"), F.min(length).alias("low"), F.max(length).alias("high")).first()
-    if stats["n"] and (stats["low"] is None or stats["low"] < 1 or stats["high"] > capacity):
+    n = F.col("_length")
+    rows = items.select(F.struct(*[F.col(c) for c in items.columns if c not in ("sequence_id", "offset")]).alias("_row"), F.col(length).cast("int").alias("_length"), F.struct(*order).alias("_order"))
+    # At most `capacity` rows, unless lengths are wrong.
+    wrong = rows.filter(n.isNull() | (n < 1) | (n > capacity)).limit(1).count()
+    if wrong:
         raise ValueError(f"lengths must lie between 1 and {capacity}")
-    salts = max(64, stats["n"] // ITEMS_PER_SALT)
-    salted = items.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
-    groups = salted.groupBy(F.col(length).alias("_length"), "_salt").agg(F.count("*").alias("_n"))
+    counts = {r[0]: r[1] for r in rows.groupBy("_length").count().collect()}
+    salts = max(64, sum(counts.values()) // ITEMS_PER_SALT)
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("_order"), F.lit(salts)))
+    groups = rows.groupBy("_length", "_salt").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("_length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     groups = groups.select("_length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
 
-    # At most `capacity` rows.
-    counts = {r[0]: r[1] for r in items.groupBy(length).count().collect()}
     places, first = [], 0
     used: dict[int, int] = {}
-    for n, pattern in plan_patterns(counts, capacity):
+    for sequences, pattern in plan_patterns(counts, capacity):
         at = 0
         for size, each in pattern:
-            places.append((size, used.get(size, 0), used.get(size, 0) + n * each, each, first, at))
-            used[size] = used.get(size, 0) + n * each
+            places.append((size, used.get(size, 0), used.get(size, 0) + sequences * each, each, first, at))
+            used[size] = used.get(size, 0) + sequences * each
             at += size * each
-        first += n
-    schema = "_p_length int, _from long, _to long, _each int, _first long, _at long"
-    places_df = spark.createDataFrame(pa.Table.from_pylist([dict(zip(("_p_length", "_from", "_to", "_each", "_first", "_at"), p, strict=True)) for p in places], schema=pa.schema([("_p_length", pa.int32()), ("_from", pa.int64()), ("_to", pa.int64()), ("_each", pa.int32()), ("_first", pa.int64()), ("_at", pa.int64())]))) if places else spark.createDataFrame([], schema)
-
-    within = Window.partitionBy(length, "_salt").orderBy(*order)
-    ranked = salted.withColumn("_in", F.row_number().over(within) - 1)
-    ranked = ranked.join(groups, (ranked[length] == groups["_length"]) & ranked["_salt"].eqNullSafe(groups["_salt"])).drop(groups["_salt"])
-    ranked = ranked.withColumn("_rank", F.col("_before") + F.col("_in"))
+        first += sequences
     # The places are a few for each length (see plan_patterns): a proven bound.
-    placed = ranked.join(F.broadcast(places_df), (F.col(length) == F.col("_p_length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
+    places_df = spark.createDataFrame(places, "_p_length int, _from long, _to long, _each int, _first long, _at long")
+
+    within = Window.partitionBy("_length", "_salt").orderBy("_order")
+    ranked = rows.withColumn("_in", F.row_number().over(within) - 1).join(groups, ["_length", "_salt"]).withColumn("_rank", F.col("_before") + F.col("_in"))
+    placed = ranked.join(F.broadcast(places_df), (n == F.col("_p_length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
     nth = F.col("_rank") - F.col("_from")
     return placed.select(
-        *[ranked[c] for c in items.columns],
-        (F.col("_first") + F.floor(nth / F.col("_each"))).cast("long").alias("sequence_id"),
-        (F.col("_at") + F.pmod(nth, F.col("_each")) * F.col(length)).cast("long").alias("offset"),
+        "_row.*", (F.col("_first") + F.floor(nth / F.col("_each"))).cast("long").alias("sequence_id"),
+        (F.col("_at") + F.pmod(nth, F.col("_each")) * n).cast("long").alias("offset"),
     )
 
 

@@ -36,8 +36,8 @@ CONTEXT = {
     "iban": "iban|account|bank|konto|compte|cuenta", "ssn": "ssn|social|security",
 }
 NEAR, RAISE, ACCEPT = 48, 0.2, 0.6
-#: Length of the runs that prefix sums are built from.
-RUN = 128
+#: Length of the runs that prefix sums are built from, and of the pieces that a text with spans is read in.
+RUN, PIECE = 128, 2048
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -90,19 +90,41 @@ def _confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _starts(found: Column, gaps: Column) -> Column:
-    """Code point at which each match begins: prefix sums in runs, so that many matches cost little more than a few."""
-    steps = F.transform(found, lambda m, i: F.length(gaps[i]) + F.length(m))
+def _before(values: Column, pick: Callable[[Column, Column], Column]) -> Column:
+    """For each of values (whole numbers from 0 on) what pick makes of all before it, 0 for the first: in runs, so that many values cost little more than a few."""
 
     def total(part: Column) -> Column:
-        return F.aggregate(part, F.lit(0), lambda a, x: a + x)
+        return F.aggregate(part, F.lit(0), pick)
 
-    def from_steps(s: Column) -> Column:
-        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(s) - 1) / RUN).cast("int")), lambda r: total(F.slice(s, r * RUN + 1, F.lit(RUN))))
+    def from_values(v: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / RUN).cast("int")), lambda r: total(F.slice(v, r * RUN + 1, F.lit(RUN))))
         bases = _let(runs, lambda t: F.transform(t, lambda _, r: total(F.slice(t, F.lit(1), r))))
-        return _let(bases, lambda b: F.transform(found, lambda m, i: F.element_at(b, F.floor(i / RUN).cast("int") + 1) + total(F.slice(s, F.floor(i / RUN).cast("int") * RUN + 1, i % RUN)) + F.length(gaps[i])))
+        return _let(bases, lambda b: F.transform(v, lambda _, i: pick(F.element_at(b, F.floor(i / RUN).cast("int") + 1), total(F.slice(v, F.floor(i / RUN).cast("int") * RUN + 1, i % RUN)))))
+
+    return _let(values, from_values)
+
+
+def _starts(found: Column, gaps: Column) -> Column:
+    """Code point at which each match begins."""
+    steps = F.transform(found, lambda m, i: F.length(gaps[i]) + F.length(m))
+    return _let(_before(steps, lambda a, x: a + x), lambda before: F.transform(before, lambda at, i: at + F.length(gaps[i])))
+
+
+def _pieces(text: Column) -> Column:
+    """text in pieces of PIECE code points: a part of it is then read without going through all that stands before."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def _part(pieces: Column, start: Column, end: Column) -> Column:
+    """Code points start to end (exclusive) of a text in pieces."""
+
+    def cut(i: Column) -> Column:
+        lo = F.greatest(start - i * PIECE, F.lit(0))
+        return F.substr(F.element_at(pieces, i + 1), lo + 1, F.least(end - i * PIECE, F.lit(PIECE)) - lo)
 
-    return _let(steps, from_steps)
+    first, last = F.floor(start / PIECE).cast("int"), F.floor((end - 1) / PIECE).cast("int")
+    inner = F.array_join(F.slice(pieces, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+    return F.when(end <= start, F.lit("")).when(first == last, cut(first)).otherwise(F.concat(cut(first), inner, cut(last)))
 
 
 def _spans_of(kind: str, text: Column) -> Column:
@@ -114,14 +136,14 @@ def _spans_of(kind: str, text: Column) -> Column:
 
         def span(begin: Column, i: Column) -> Column:
             value = found[i]
-            near = F.lower(F.substr(text, F.greatest(begin - NEAR + 1, F.lit(1)), F.least(begin, F.lit(NEAR))))
+            near = F.lower(_part(p["pieces"], F.greatest(begin - NEAR, F.lit(0)), begin))
             score = F.lit(SCORES[kind]) + F.when(near.rlike(rf"\b(?:{CONTEXT[kind]})"), F.lit(RAISE)).otherwise(F.lit(0.0))
             return F.struct(begin.alias("start"), F.lit(order).alias("ord"), F.lit(kind).alias("kind"), (begin + F.length(value)).alias("end"), value.alias("value"), F.least(score, F.lit(1.0)).alias("score"))
 
         return _let(_starts(found, gaps), lambda s: F.transform(s, span))
 
-    both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("gaps"))
-    spans = _let(both, lambda p: F.when(F.size(p["found"]) > 0, located(p)))
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    spans = _let(found, lambda f: F.when(F.size(f) > 0, _let(F.struct(f.alias("found"), F.split(text, pattern, -1).alias("gaps"), _pieces(text).alias("pieces")), located)))
     kept = F.filter(spans, lambda s: _confirmed(kind, s["value"]) & ((s["score"] >= ACCEPT) if kind not in BASE_KINDS else F.lit(True)))
     return F.when(text.rlike(HINTS[kind]), kept)
 
@@ -148,11 +170,11 @@ def count_kind(spans: Column, kind: str) -> Column:
 def redacted(text: Column, spans: Column) -> Column:
     """text with each span replaced by its kind in brackets; of overlapping spans the first names the whole."""
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        piece = F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, piece).otherwise(acc["out"]).alias("out"))
+    def joined(pieces: Column) -> Column:
+        # What overlaps is one span from the first one's start to the furthest end.
+        ends = _before(F.transform(spans, lambda s: s["end"]), lambda a, x: F.greatest(a, x))
+        marked = F.transform(F.arrays_zip(spans.alias("s"), ends.alias("done")), lambda x: F.struct(x["done"].alias("done"), x["s"]["start"].alias("start"), x["s"]["kind"].alias("kind")))
+        marks = F.transform(F.filter(marked, lambda x: x["start"] >= x["done"]), lambda x: F.concat(_part(pieces, x["done"], x["start"]), F.lit("["), F.upper(x["kind"]), F.lit("]")))
+        return F.concat(F.array_join(marks, ""), _part(pieces, F.array_max(F.transform(spans, lambda s: s["end"])), F.length(text)))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    done = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    return F.when(F.size(spans) > 0, _let(_pieces(text), joined)).otherwise(text)

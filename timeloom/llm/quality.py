@@ -143,10 +143,11 @@ class Rule:
         return out
 
 
-def _grow(x: dict[str, np.ndarray], y: np.ndarray, most_terms: int) -> Rule:
+def _grow(x: dict[str, np.ndarray], y: np.ndarray) -> Rule:
+    """Terms are added while one gains information; every threshold between two values of a feature is tried."""
     terms: list = []
     covered = np.ones(len(y), bool)
-    for _ in range(most_terms):
+    while True:
         p0, n0 = y[covered].sum(), (~y[covered]).sum()
         if not p0 or not n0:
             break
@@ -158,8 +159,6 @@ def _grow(x: dict[str, np.ndarray], y: np.ndarray, most_terms: int) -> Rule:
             cut = np.flatnonzero(v[1:] > v[:-1]) + 1
             if not len(cut):
                 continue
-            if len(cut) > 256:
-                cut = cut[np.linspace(0, len(cut) - 1, 256).astype(int)]
             below_p = np.concatenate(([0], np.cumsum(t)))[cut]
             below_n = cut - below_p
             for at_least in (False, True):
@@ -182,28 +181,27 @@ def _worth(rule: Rule, x: dict[str, np.ndarray], y: np.ndarray) -> float:
     return (p - n) / (p + n) if p + n else -1.0
 
 
-def learn_rules(x: dict[str, np.ndarray], low: np.ndarray, most_rules: int = 12, most_terms: int = 4, least_precision: float = 0.8, least_rows: int = 3) -> list[Rule]:
-    """Rules for rows with low True, best first. Every third row is kept for pruning."""
+def learn_rules(x: dict[str, np.ndarray], low: np.ndarray, least_precision: float = 0.8, least_rows: int = 3) -> list[Rule]:
+    """Rules for rows with low True, best first, until the next one is not precise enough or covers too few rows. Every third row is kept for pruning."""
     y = np.asarray(low, bool)
     hold = np.arange(len(y)) % 3 == 2
     rules: list[Rule] = []
     open_rows = np.ones(len(y), bool)
-    while len(rules) < most_rules:
+    while True:
         grow, prune = open_rows & ~hold, open_rows & hold
         if y[grow].sum() < least_rows:
-            break
+            return rules
         gx, px = ({k: v[m] for k, v in x.items()} for m in (grow, prune))
-        rule = _grow(gx, y[grow], most_terms)
+        rule = _grow(gx, y[grow])
         options = [Rule(rule.terms[:k]) for k in range(1, len(rule.terms) + 1)]
         if not options:
-            break
+            return rules
         rule = max(options, key=lambda r: (_worth(r, px, y[prune]), -len(r.terms)))
         hit = rule.covers(x) & open_rows
         if hit.sum() < least_rows or y[hit].mean() < least_precision:
-            break
+            return rules
         rules.append(rule)
         open_rows &= ~hit
-    return rules
 
 
 def verdict(rules: list[Rule], features: dict[str, Column]) -> Column:

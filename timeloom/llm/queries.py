@@ -24,6 +24,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their place. Null and empty texts are a piece of the end id alone; equal rows are packed each; no documents give no rows."""
     scratch = Scratch(spark, "op1")
     pieces = packing.tokenized_pieces(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), CAPACITY, added_tokens=True)
     pieces = scratch.save(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
@@ -31,14 +32,17 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(_table(spark, sf_dir, "documents"), Scratch(spark, "op2")).drop("text")
+    """Every document's words less those that a smaller doc_id has in a window of 50. Cases as in repeats.remove_repeats."""
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents"), Scratch(spark, "op2")).drop("text", "passages")
 
 
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that the mix takes of every document. Cases as in mixing.mix_sources."""
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
 def op4_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and spans of every text. Null and empty texts have none; equal rows give equal results; no documents give no rows."""
     found = pii.find_private_data(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     found = found.select("doc_id", "pii_spans", F.filter("pii_spans", lambda s: s["kind"].isin(*pii.BASE_KINDS)).alias("base"))
     counts = [pii.count_kind(F.col("base"), k).alias(f"n_{k}") for k in pii.BASE_KINDS]
@@ -46,6 +50,7 @@ def op4_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every document. Cases as in quality.judge_quality."""
     judged, _ = quality.judge_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), Scratch(spark, "op5"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
@@ -105,20 +110,24 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every text. Cases as in wordpiece.token_counts."""
     return wordpiece.token_counts(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), bare_mark=True)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every text by a classifier that never saw the held-out labels. Cases as in toxicity.classify_toxicity."""
     scored = toxicity.classify_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), Scratch(spark, "op8"))
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector. Cases as in vectors.link_vectors."""
     return vectors.link_vectors(_table(spark, sf_dir, "embeddings"), Scratch(spark, "op9")).select("vec_id", "n_links", "component_id", "kept")
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document. Cases as in jaccard.jaccard_components."""
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
 
 

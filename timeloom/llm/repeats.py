@@ -28,7 +28,9 @@ from timeloom.llm.runtime import Scratch
 
 WINDOW = 50
 SEED_WORDS = 12
-#: Windows of a run, so that a run's answer fits the bits of a long.
+#: Windows of a run, so that a run's answer fits the bits of a long. One seed lies in at most
+#: WINDOW - SEED_WORDS + 1 = 39 windows, so only a text that repeats a seed within itself has
+#: longer runs; these are cut, and every part is a run of its own with its own class and answer.
 RUN_WINDOWS = 60
 
 
@@ -115,11 +117,11 @@ def run_table(hit: DataFrame, window: int, seed_words: int) -> DataFrame:
 
 
 def _removed(texts: DataFrame, window: int) -> DataFrame:
-    """(doc_id, print, n_removed, text) from texts with runs (first, n, mask); text: the words that stay, joined by one space."""
+    """(doc_id, print, n_removed, text, passages) from texts with runs (first, n, mask); text: the words that stay, joined by one space; passages: (first word, words) of each maximal repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = ([], [])
+            out = ([], [], [])
             for text, runs in zip(batch.column(1), batch.column(3), strict=True):
                 words = text.as_py().encode().split()
                 change = np.zeros(len(words) + 1, np.int64)
@@ -130,9 +132,12 @@ def _removed(texts: DataFrame, window: int) -> DataFrame:
                 stay = np.cumsum(change[:-1]) == 0
                 out[0].append(len(words) - int(stay.sum()))
                 out[1].append(b" ".join(compress(words, stay)).decode())
-            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string())], names=["doc_id", "print", "n_removed", "text"])
+                ends = np.flatnonzero(np.diff(np.concatenate(([True], stay, [True])).astype(np.int8)))
+                out[2].append([{"first": int(lo), "words": int(hi - lo)} for lo, hi in ends.reshape(-1, 2)])
+            passages = pa.array(out[2], pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())])))
+            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), passages], names=["doc_id", "print", "n_removed", "text", "passages"])
 
-    return texts.mapInArrow(run, "doc_id long, print long, n_removed long, text string")
+    return texts.mapInArrow(run, "doc_id long, print long, n_removed long, text string, passages array<struct<first:long,words:long>>")
 
 
 def repeated_runs(docs: DataFrame, scratch: Scratch, window: int = WINDOW, seed_words: int = SEED_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -156,8 +161,7 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, window: int = WINDOW, seed_
     first = scratch.save(first, "first")
     bits = led.join(first, ["seed", "window"]).filter("earliest < leader").groupBy("seed", "context", "n").agg(F.expr("bit_or(shiftleft(1L, at))").alias("bits"))
     classes = scratch.save(classes.join(bits, ["seed", "context", "n"], "left"), "answers")
-    for name in ("led", "first", "several"):
-        scratch.drop(name)
+    scratch.drop("led", "first", "several")
 
     mask = F.when(F.col("doc_id") > F.col("leader"), F.expr("shiftleft(1L, n) - 1")).otherwise(F.coalesce(F.col("bits"), F.lit(0)))
     found = slim.join(classes, ["seed", "context", "n"]).withColumn("mask", mask).filter("mask != 0")
@@ -166,11 +170,12 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, window: int = WINDOW, seed_
 
 
 def remove_repeats(docs: DataFrame, scratch: Scratch, window: int = WINDOW, seed_words: int = SEED_WORDS) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256, text for each row of docs.
+    """doc_id, n_words, n_removed, kept_sha256, text, passages for each row of docs.
 
     A word goes if a window of ``window`` words that covers it also starts in a
     document with a smaller doc_id. text: the words that stay, joined by one
-    space, or null where all stay. Equal rows get equal results and don't remove
+    space, or null where all stay. passages: the maximal repeats that go, as (first
+    word, words), or null where there are none; two that touch are one. Equal rows get equal results and don't remove
     each other; a row without doc_id loses nothing and removes nothing; null and
     empty texts have no words. Windows are equal when two 64-bit hashes are.
     """
@@ -181,4 +186,4 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, window: int = WINDOW, seed
     cut = _removed(texts, window).withColumn("kept_sha256", F.sha2("text", 256)).dropDuplicates(["doc_id", "print"])
     whole = seeds.filter(F.col("seed").isNull()).select("doc_id", "print", "n_words", "sha")
     out = whole.join(cut, ["doc_id", "print"], "left")
-    return out.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"), "text")
+    return out.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"), "text", "passages")

@@ -1,8 +1,10 @@
 """Toxicity scores from a character n-gram linear classifier (operator 8).
 
-Features are the hashed character n-grams that occur in a text (presence, not
-counts). Each is scaled by its naive Bayes log-count ratio, and a logistic
-regression learns a weight for every scaled feature.
+Features are the character n-grams that occur in a text (presence, not counts),
+named by 64-bit hashes. Each is scaled by its naive Bayes log-count ratio, and a
+logistic regression learns a weight for every scaled feature. A feature is kept
+for its evidence alone: its share of texts differs between the labels by more
+than LEAST_SPREAD standard errors, in LEAST_TEXTS texts or more.
 """
 
 from __future__ import annotations
@@ -16,26 +18,25 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timeloom.llm.textops import mix
+from timeloom.llm.textops import mix, signed
 
 SIZES = (3, 4, 5)
-BITS = 18
-#: Features that the classifier keeps, those with the most informative ratios.
-FEATURES = 6000
-#: Standard errors by which a feature's share must differ between the labels.
-LEAST_SPREAD = 1.5
+#: Standard errors by which a feature's share must differ between the labels, and texts that it must occur in.
+LEAST_SPREAD, LEAST_TEXTS = 2.0, 3
 #: Labelled documents that it learns from: those with the smallest hash of doc_id.
 MOST_LABELLED = 20_000
 THRESHOLD = 0.7
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5, 0xB564EF22EC7AECE5, 0xF7C2EBC08F67F2B5], np.uint64)
 _GROUP = 1 << 18
+#: Pairs of text and n-gram that are counted at a time, which bounds a worker's memory.
+_PAIRS = 1 << 21
+_SIEVE = 20
 
 
-def gram_groups(column: pa.Array, wanted: np.ndarray | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, rows, row of each pair, bucket of each pair): distinct n-grams of each text, as buckets.
+def text_grams(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, rows, row of each n-gram, n-gram): those of some texts or of a part of a long one, repeated ones as well.
 
-    Lower case; white space counts as one blank; a blank stands before and after
-    each text. wanted: a mask of buckets, others are left out.
+    Lower case; white space counts as one blank; a blank stands before and after each text.
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -46,7 +47,6 @@ def gram_groups(column: pa.Array, wanted: np.ndarray | None = None) -> Iterator[
     while row < n:
         done = ends[row - 1] if row else 0
         last = max(int(np.searchsorted(ends, done + _GROUP, "right")), row + 1)
-        pairs = []
         text = "".join(f" {t} " for t in column.slice(row, last - row).to_pylist())
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         of = np.repeat(np.arange(last - row), sizes[row:last])
@@ -55,35 +55,57 @@ def gram_groups(column: pa.Array, wanted: np.ndarray | None = None) -> Iterator[
             part = points[lo : lo + _GROUP + max(SIZES) - 1].astype(np.uint64)
             part[(part >= 9) & (part <= 13)] = 32
             rows = of[lo : lo + len(part)]
-            total = np.zeros(len(part), np.uint64)
-            for k in range(max(SIZES)):
-                if len(part) <= k:
-                    break
+            total, found = np.zeros(len(part), np.uint64), []
+            for k in range(min(max(SIZES), len(part))):
                 total = total[: len(part) - k] + part[k:] * _FACTORS[k]
-                if k + 1 not in SIZES:
-                    continue
-                buckets = (mix(total + np.uint64(k)) >> np.uint64(64 - BITS)).astype(np.int64)
-                keep = rows[: len(buckets)] == rows[k:]
-                if wanted is not None:
-                    keep &= wanted[buckets]
-                pairs.append(np.unique(rows[: len(buckets)][keep] << BITS | buckets[keep]))
-        both = np.unique(np.concatenate(pairs)) if pairs else np.empty(0, np.int64)
-        yield row, last - row, both >> BITS, both & ((1 << BITS) - 1)
+                if k + 1 in SIZES:
+                    inside = rows[: len(total)] == rows[k:]
+                    found.append((rows[: len(total)][inside], mix(total[inside] + np.uint64(k))))
+            if found:
+                yield row, last - row, *(np.concatenate(x) for x in zip(*found, strict=True))
         row = last
 
 
+class Lookup:
+    """Places of n-grams in a sorted array; a sieve of their first bits turns most others away."""
+
+    def __init__(self, grams: np.ndarray):
+        self.grams = grams
+        self.sieve = np.zeros(1 << _SIEVE, bool)
+        self.sieve[(grams >> np.uint64(64 - _SIEVE)).astype(np.int64)] = True
+
+    def pairs(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(first row, rows, row, place): each wanted n-gram of a text once; rows of one text come in one item or, if it is long, in several."""
+        for first, n, rows, grams in text_grams(column):
+            near = self.sieve[(grams >> np.uint64(64 - _SIEVE)).astype(np.int64)]
+            rows, grams = rows[near], grams[near]
+            place = np.searchsorted(self.grams, grams)
+            hit = place < len(self.grams)
+            hit[hit] = self.grams[place[hit]] == grams[hit]
+            both = np.unique(rows[hit] << 32 | place[hit])
+            yield first, n, both >> 32, both & 0xFFFFFFFF
+
+    def of_texts(self, column: pa.Array) -> list[np.ndarray]:
+        """The places of each text's n-grams, sorted and each once."""
+        out: list[list[np.ndarray]] = [[] for _ in range(len(column))]
+        for first, _, rows, places in self.pairs(column):
+            cuts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1])) if len(rows) else rows
+            for r, part in zip(rows[cuts], np.split(places, cuts[1:]) if len(rows) else [], strict=True):
+                out[first + r].append(part)
+        return [np.unique(np.concatenate(x)) if x else np.empty(0, np.int64) for x in out]
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
-    """weights: of each bucket, its ratio times its learned weight, 0 for buckets that aren't kept."""
+    """grams: kept n-grams, sorted; weights: of each, its ratio times its learned weight."""
 
+    grams: np.ndarray
     weights: np.ndarray
     bias: float
 
     def scores(self, column: pa.Array) -> np.ndarray:
-        wanted, out = self.weights != 0, np.zeros(len(column))
-        for first, n, rows, buckets in gram_groups(column, wanted):
-            out[first : first + n] = np.bincount(rows, weights=self.weights[buckets], minlength=n)
-        return 1 / (1 + np.exp(-np.clip(out + self.bias, -30, 30)))
+        sums = np.array([self.weights[x].sum() for x in Lookup(self.grams).of_texts(column)])
+        return 1 / (1 + np.exp(-np.clip(sums + self.bias, -30, 30)))
 
 
 def fit_logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, y: np.ndarray, n_columns: int, ridge: float = 2.0, steps: int = 300) -> tuple[np.ndarray, float]:
@@ -121,71 +143,84 @@ def training_rows(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_
     return docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text")).join(F.broadcast(chosen), "_id").select("_text", "_toxic")
 
 
+def gram_counts(rows: DataFrame) -> DataFrame:
+    """(gram, clean, toxic): how many texts of either label hold an n-gram, from (text, toxic)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            toxic = batch.column(1).to_numpy(zero_copy_only=False) > 0
+            held, size = [], 0
+            for i, of_text in enumerate(distinct_grams(batch.column(0))):
+                held.append((of_text, toxic[i]))
+                size += len(of_text)
+                if size >= _PAIRS:
+                    yield counted(held)
+                    held, size = [], 0
+            if size:
+                yield counted(held)
+
+    def counted(held: list) -> pa.RecordBatch:
+        grams, at = np.unique(np.concatenate([g for g, _ in held]), return_inverse=True)
+        bad = np.repeat([y for _, y in held], [len(g) for g, _ in held])
+        every, of_toxic = np.bincount(at), np.bincount(at[bad], minlength=len(grams))
+        return pa.record_batch([pa.array(signed(grams)), pa.array(every - of_toxic), pa.array(of_toxic)], names=["gram", "clean", "toxic"])
+
+    parts = rows.mapInArrow(run, "gram long, clean long, toxic long")
+    return parts.groupBy("gram").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+
+
+def distinct_grams(column: pa.Array) -> Iterator[np.ndarray]:
+    """The distinct n-grams of each text."""
+    for text in column:
+        parts = [grams for _, _, _, grams in text_grams(pa.array([text.as_py()], pa.string()))]
+        yield np.unique(np.concatenate([np.unique(x) for x in parts])) if parts else np.empty(0, np.uint64)
+
+
 def train(rows: DataFrame, scratch, smoothing: float = 1.0, parts: int = 8) -> ToxicityModel:
     """A model from (text, toxic); without both labels, one that gives every text the same score."""
     rows = scratch.save(rows.repartition(parts), "training")
-
-    def counts(batches):
-        seen = np.zeros((2, 1 << BITS), np.int64)
-        docs = np.zeros(2, np.int64)
-        for batch in batches:
-            toxic = batch.column(1).to_numpy(zero_copy_only=False)
-            docs += np.bincount(toxic, minlength=2)[:2]
-            for first, _, r, b in gram_groups(batch.column(0)):
-                hit = toxic[first + r] == 1
-                seen[1] += np.bincount(b[hit], minlength=1 << BITS)
-                seen[0] += np.bincount(b[~hit], minlength=1 << BITS)
-        yield pa.record_batch([pa.array([seen.astype(np.int32).tobytes()], pa.binary()), pa.array([int(docs[0])]), pa.array([int(docs[1])])], names=["seen", "clean", "toxic"])
-
-    found = rows.mapInArrow(counts, "seen binary, clean long, toxic long").collect()  # a row of fixed size for each of a fixed number of parts
-    clean, toxic = sum(r["clean"] for r in found), sum(r["toxic"] for r in found)
+    found = rows.agg(F.count_if(F.col("_toxic") > 0).alias("toxic"), F.count_if(F.col("_toxic") <= 0).alias("clean")).first()
+    toxic, clean = found["toxic"], found["clean"]
     if not clean or not toxic:
-        return ToxicityModel(np.zeros(1 << BITS), float(np.log((toxic + 1) / (clean + 1))))
-    seen = np.sum([np.frombuffer(r["seen"], np.int32).reshape(2, -1).astype(np.int64) for r in found], axis=0)
-    ratio = np.log((seen[1] + smoothing) / (toxic + 2 * smoothing)) - np.log((seen[0] + smoothing) / (clean + 2 * smoothing))
-    p, q = seen[1] / toxic, seen[0] / clean
-    with np.errstate(divide="ignore", invalid="ignore"):
-        spread = np.abs(p - q) / np.sqrt((p * (1 - p) + 1 / toxic) / toxic + (q * (1 - q) + 1 / clean) / clean)
-    spread[seen.sum(axis=0) < 3] = 0
-    kept = np.sort(np.argsort(-spread, kind="stable")[:FEATURES])
-    kept = kept[spread[kept] > LEAST_SPREAD]
-    wanted = np.zeros(1 << BITS, bool)
-    wanted[kept] = True
-    place = np.cumsum(wanted) - 1
+        return ToxicityModel(np.empty(0, np.uint64), np.empty(0), float(np.log((toxic + 1) / (clean + 1))))
+    p, q = F.col("toxic") / toxic, F.col("clean") / clean
+    spread = F.abs(p - q) / F.sqrt((p * (1 - p) + 1 / toxic) / toxic + (q * (1 - q) + 1 / clean) / clean)
+    kept = gram_counts(rows).filter((F.col("clean") + F.col("toxic") >= LEAST_TEXTS) & (spread > LEAST_SPREAD))
+    # n-grams of at most most_labelled texts that tell the labels apart: some thousands, whatever the corpus.
+    kept = kept.toPandas()
+    grams = kept["gram"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(grams)
+    grams = grams[order]
+    in_toxic, in_clean = (kept[c].to_numpy(np.float64)[order] for c in ("toxic", "clean"))
+    ratio = np.log((in_toxic + smoothing) / (toxic + 2 * smoothing)) - np.log((in_clean + smoothing) / (clean + 2 * smoothing))
 
     def hits(batches):
+        lookup = Lookup(grams)
         for batch in batches:
-            out = [b""] * batch.num_rows
-            for first, n, r, b in gram_groups(batch.column(0), wanted):
-                bounds = np.searchsorted(r, np.arange(n + 1))
-                ids = place[b].astype(np.uint16)
-                for i in range(n):
-                    out[first + i] = ids[bounds[i] : bounds[i + 1]].tobytes()
-            yield pa.record_batch([pa.array(out, pa.binary()), batch.column(1)], names=["hits", "toxic"])
-
-    # At most most_labelled rows of at most 2 * FEATURES bytes.
+            places = [x.astype(np.uint32).tobytes() for x in lookup.of_texts(batch.column(0))]
+            yield pa.record_batch([pa.array(places, pa.binary()), batch.column(1)], names=["hits", "toxic"])
+
+    # At most most_labelled rows of the kept n-grams that they hold.
     lists, y = [], []
     for r in rows.mapInArrow(hits, "hits binary, toxic int").toLocalIterator():
-        lists.append(np.frombuffer(r["hits"], np.uint16))
+        lists.append(np.frombuffer(r["hits"], np.uint32))
         y.append(r["toxic"] > 0)
     columns = np.concatenate(lists).astype(np.int64) if lists else np.empty(0, np.int64)
     index = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    scaled = ratio[kept]
-    w, b = fit_logistic(index, columns, scaled[columns], np.asarray(y, float), len(kept))
-    weights = np.zeros(1 << BITS)
-    weights[kept] = w * scaled
-    return ToxicityModel(weights, b)
+    w, b = fit_logistic(index, columns, ratio[columns], np.asarray(y, float), len(grams))
+    return ToxicityModel(grams, w * ratio, b)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns in keep, and score (double, 0 to 1), for each row of docs; null text counts as empty."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # 2 MB at any size of input
+    sent = docs.sparkSession.sparkContext.broadcast((model.grams, model.weights, model.bias))  # two numbers for each kept n-gram
     rows = docs.select(F.col("text").cast("string").alias("_text"), F.struct(*[F.col(c) for c in keep]).alias("_row"))
     schema = rows.select("_row").schema.add("_score", "double")
 
     def run(batches):
+        known = ToxicityModel(*sent.value)
         for batch in batches:
-            yield pa.record_batch([batch.column(1), pa.array(sent.value.scores(batch.column(0)))], names=["_row", "_score"])
+            yield pa.record_batch([batch.column(1), pa.array(known.scores(batch.column(0)))], names=["_row", "_score"])
 
     return rows.mapInArrow(run, schema).select("_row.*", F.col("_score").alias("score"))
 

@@ -154,7 +154,10 @@ def link_vectors(embeddings: DataFrame, scratch: Scratch, cosine: float = COSINE
     marked = scratch.save(signature_table(classes, per_table, tables), "marked")
 
     slim = marked.select("class_id", "label", "dim", F.posexplode("signatures").alias("tbl", "bucket"))
-    full = slim.groupBy("label", "dim", "tbl", "bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    # Buckets of the same vectors in several tables give the same links: the first such table's bucket is searched.
+    members = [F.bit_xor(F.xxhash64("class_id", F.lit(i))).alias(f"h{i}") for i in (1, 2)]
+    full = slim.groupBy("label", "dim", "tbl", "bucket").agg(F.count("*").alias("n"), *members).filter("n > 1")
+    full = full.groupBy("label", "dim", "n", "h1", "h2").agg(F.min(F.struct("tbl", "bucket")).alias("at")).select("label", "dim", "at.*", "n")
     full = scratch.save(full, "full")
     parts = F.ceil(F.col("n") / BLOCK).cast("int")
     dealt = slim.join(full, ["label", "dim", "tbl", "bucket"]).withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("class_id"), F.col("parts")).cast("int"))
