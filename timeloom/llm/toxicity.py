@@ -31,6 +31,8 @@ _GROUP = 1 << 18
 #: Pairs of text and n-gram that are counted at a time, which bounds a worker's memory.
 _PAIRS = 1 << 21
 _SIEVE = 20
+#: Entries of the regression's matrix that are multiplied at a time.
+_ENTRIES = 1 << 19
 
 
 def text_grams(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -108,24 +110,39 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(sums + self.bias, -30, 30)))
 
 
-def fit_logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, y: np.ndarray, n_columns: int, ridge: float = 2.0, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression on a sparse matrix, by accelerated gradient steps."""
-    n = len(y)
+def fit_logistic(sizes: np.ndarray, columns: np.ndarray, scale: np.ndarray, y: np.ndarray, ridge: float = 2.0, steps: int = 300) -> tuple[np.ndarray, float]:
+    """Ridge logistic regression by accelerated gradient steps on a matrix whose rows hold scale[c] at sizes[i] of columns each.
+
+    Only the columns (4 bytes each) are kept; products are made some rows at a time.
+    """
+    n, n_columns = len(y), len(scale)
+    ends = np.cumsum(sizes)
+    cuts = np.unique([0, *np.searchsorted(ends, np.arange(_ENTRIES, ends[-1], _ENTRIES)), n])
+
+    def blocks() -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            yield slice(lo, hi), np.repeat(np.arange(hi - lo), sizes[lo:hi]), columns[ends[lo] - sizes[lo] : ends[hi - 1]]
+
+    def times(v: np.ndarray) -> np.ndarray:
+        v = v * scale
+        return np.concatenate([np.bincount(r, weights=v[c], minlength=at.stop - at.start) for at, r, c in blocks()])
+
+    def transposed(z: np.ndarray) -> np.ndarray:
+        return scale * sum(np.bincount(c, weights=z[at][r], minlength=n_columns) for at, r, c in blocks())
+
     w, b = np.zeros(n_columns), float(np.log((y.sum() + 1) / (n - y.sum() + 1)))
     # A bound on the curvature, by a few power steps.
     v = np.ones(n_columns)
     size = 1.0
     for _ in range(10):
-        z = np.bincount(rows, weights=values * v[columns], minlength=n)
-        v = np.bincount(columns, weights=values * z[rows], minlength=n_columns)
+        v = transposed(times(v))
         size = float(np.linalg.norm(v)) or 1.0
         v /= size
     rate = 1.0 / (0.25 * (size + n) + ridge)
     pw, pb, t = w.copy(), b, 1.0
     for _ in range(steps):
-        z = np.bincount(rows, weights=values * pw[columns], minlength=n) + pb
-        e = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
-        nw = pw - rate * (np.bincount(columns, weights=values * e[rows], minlength=n_columns) + ridge * pw)
+        e = 1 / (1 + np.exp(-np.clip(times(pw) + pb, -30, 30))) - y
+        nw = pw - rate * (transposed(e) + ridge * pw)
         nb = pb - rate * e.sum()
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
         pw, pb = nw + (t - 1) / t2 * (nw - w), nb + (t - 1) / t2 * (nb - b)
@@ -205,9 +222,9 @@ def train(rows: DataFrame, scratch, smoothing: float = 1.0, parts: int = 8) -> T
     for r in rows.mapInArrow(hits, "hits binary, toxic int").toLocalIterator():
         lists.append(np.frombuffer(r["hits"], np.uint32))
         y.append(r["toxic"] > 0)
-    columns = np.concatenate(lists).astype(np.int64) if lists else np.empty(0, np.int64)
-    index = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    w, b = fit_logistic(index, columns, ratio[columns], np.asarray(y, float), len(grams))
+    sizes, columns = np.array([len(x) for x in lists]), np.concatenate(lists)
+    del lists
+    w, b = fit_logistic(sizes, columns, ratio, np.asarray(y, float))
     return ToxicityModel(grams, w * ratio, b)
 
 
