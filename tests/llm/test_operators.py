@@ -542,7 +542,7 @@ def test_toxicity_equals_a_plain_version(spark, scratch):
         p, q = seen[1][g] / bad, seen[0][g] / good
         return abs(p - q) / math.sqrt((p * (1 - p) + 1 / bad) / bad + (q * (1 - q) + 1 / good) / good)
 
-    kept = sorted(g for g in set(seen[0]) | set(seen[1]) if seen[0][g] + seen[1][g] >= toxicity.LEAST_TEXTS and apart(g) > toxicity.LEAST_SPREAD)
+    kept = sorted(g for g in set(seen[0]) | set(seen[1]) if seen[0][g] + seen[1][g] >= toxicity.LEAST_TEXTS and apart(g) > toxicity.least_spread(len(train)))
     ratio = np.array([math.log((seen[1][g] + 1) / (bad + 2)) - math.log((seen[0][g] + 1) / (good + 2)) for g in kept])
     x = lambda gs: np.array([g in gs for g in kept]) * ratio
     m, y = np.column_stack([np.ones(len(train)), [x(gs) for gs, _ in train]]), np.array([y for _, y in train], float)

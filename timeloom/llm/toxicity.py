@@ -3,12 +3,14 @@
 Features are the character n-grams that occur in a text (presence, not counts),
 named by 64-bit hashes. Each is scaled by its naive Bayes log-count ratio, and a
 logistic regression learns a weight for every scaled feature. A feature is kept
-for its evidence alone: its share of texts differs between the labels by more
-than LEAST_SPREAD standard errors, in LEAST_TEXTS texts or more.
+for its evidence alone: it occurs in LEAST_TEXTS texts or more, and its share of
+texts differs between the labels by more standard errors than a further
+parameter costs by Schwarz's criterion, the root of the logarithm of the number of texts.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,8 +23,8 @@ from pyspark.sql import functions as F
 from timeloom.llm.textops import mix, signed
 
 SIZES = (3, 4, 5)
-#: Standard errors by which a feature's share must differ between the labels, and texts that it must occur in.
-LEAST_SPREAD, LEAST_TEXTS = 2.0, 3
+#: Texts that a feature must occur in.
+LEAST_TEXTS = 3
 #: Labelled documents that it learns from: those with the smallest hash of doc_id.
 MOST_LABELLED = 20_000
 THRESHOLD = 0.7
@@ -110,7 +112,12 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(sums + self.bias, -30, 30)))
 
 
-def fit_logistic(sizes: np.ndarray, columns: np.ndarray, scale: np.ndarray, y: np.ndarray, ridge: float = 2.0, steps: int = 300) -> tuple[np.ndarray, float]:
+def least_spread(n: int) -> float:
+    """Standard errors by which a feature's share must differ between the labels of n texts."""
+    return math.sqrt(math.log(max(n, 3)))
+
+
+def fit_logistic(sizes: np.ndarray, columns: np.ndarray, scale: np.ndarray, y: np.ndarray, ridge: float = 2.0, steps: int = 300, close: float = 1e-4) -> tuple[np.ndarray, float]:
     """Ridge logistic regression by accelerated gradient steps on a matrix whose rows hold scale[c] at sizes[i] of columns each.
 
     Only the columns (4 bytes each) are kept; products are made some rows at a time.
@@ -146,7 +153,10 @@ def fit_logistic(sizes: np.ndarray, columns: np.ndarray, scale: np.ndarray, y: n
         nb = pb - rate * e.sum()
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
         pw, pb = nw + (t - 1) / t2 * (nw - w), nb + (t - 1) / t2 * (nb - b)
+        moved = max(float(np.abs(nw - w).max(initial=0)), abs(nb - b))
         w, b, t = nw, nb, t2
+        if moved < close * max(float(np.abs(w).max(initial=0)), abs(b)):
+            break
     return w, b
 
 
@@ -202,7 +212,7 @@ def train(rows: DataFrame, scratch, smoothing: float = 1.0, parts: int = 8) -> T
         return ToxicityModel(np.empty(0, np.uint64), np.empty(0), float(np.log((toxic + 1) / (clean + 1))))
     p, q = F.col("toxic") / toxic, F.col("clean") / clean
     spread = F.abs(p - q) / F.sqrt((p * (1 - p) + 1 / toxic) / toxic + (q * (1 - q) + 1 / clean) / clean)
-    kept = gram_counts(rows).filter((F.col("clean") + F.col("toxic") >= LEAST_TEXTS) & (spread > LEAST_SPREAD))
+    kept = gram_counts(rows).filter((F.col("clean") + F.col("toxic") >= LEAST_TEXTS) & (spread > least_spread(toxic + clean)))
     # n-grams of at most most_labelled texts that tell the labels apart: some thousands, whatever the corpus.
     kept = kept.toPandas()
     grams = kept["gram"].to_numpy(np.int64).view(np.uint64)
