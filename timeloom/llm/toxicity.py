@@ -17,6 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -117,8 +118,8 @@ def least_spread(n: int) -> float:
     return math.sqrt(math.log(max(n, 3)))
 
 
-def fit_logistic(sizes: np.ndarray, columns: np.ndarray, scale: np.ndarray, y: np.ndarray, ridge: float = 2.0, steps: int = 300, close: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression by accelerated gradient steps on a matrix whose rows hold scale[c] at sizes[i] of columns each.
+def fit_logistic(sizes: np.ndarray, columns: np.ndarray, scale: np.ndarray, y: np.ndarray, ridge: float = 2.0, close: float = 1e-3) -> tuple[np.ndarray, float]:
+    """Ridge logistic regression by Newton steps, each solved by conjugate gradients, on a matrix whose rows hold scale[c] at sizes[i] of columns each.
 
     Only the columns (4 bytes each) are kept; products are made some rows at a time.
     """
@@ -137,27 +138,46 @@ def fit_logistic(sizes: np.ndarray, columns: np.ndarray, scale: np.ndarray, y: n
     def transposed(z: np.ndarray) -> np.ndarray:
         return scale * sum(np.bincount(c, weights=z[at][r], minlength=n_columns) for at, r, c in blocks())
 
-    w, b = np.zeros(n_columns), float(np.log((y.sum() + 1) / (n - y.sum() + 1)))
-    # A bound on the curvature, by a few power steps.
-    v = np.ones(n_columns)
-    size = 1.0
-    for _ in range(10):
-        v = transposed(times(v))
-        size = float(np.linalg.norm(v)) or 1.0
-        v /= size
-    rate = 1.0 / (0.25 * (size + n) + ridge)
-    pw, pb, t = w.copy(), b, 1.0
-    for _ in range(steps):
-        e = 1 / (1 + np.exp(-np.clip(times(pw) + pb, -30, 30))) - y
-        nw = pw - rate * (transposed(e) + ridge * pw)
-        nb = pb - rate * e.sum()
-        t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        pw, pb = nw + (t - 1) / t2 * (nw - w), nb + (t - 1) / t2 * (nb - b)
-        moved = max(float(np.abs(nw - w).max(initial=0)), abs(nb - b))
-        w, b, t = nw, nb, t2
-        if moved < close * max(float(np.abs(w).max(initial=0)), abs(b)):
+    # The last entry of every vector is the bias, which the ridge spares.
+    penalty = np.append(np.full(n_columns, ridge), 0.0)
+
+    def both(v: np.ndarray) -> np.ndarray:
+        return times(v[:-1]) + v[-1]
+
+    def back(z: np.ndarray) -> np.ndarray:
+        return np.append(transposed(z), z.sum())
+
+    def loss(z: np.ndarray, w: np.ndarray) -> float:
+        return float(np.logaddexp(0, z).sum() - y @ z + 0.5 * penalty @ (w * w))
+
+    w = np.append(np.zeros(n_columns), np.log((y.sum() + 1) / (n - y.sum() + 1)))
+    z, first = both(w), None
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        g = back(p - y) + penalty * w
+        size = float(np.linalg.norm(g))
+        first = first or size
+        if size <= close * first:
             break
-    return w, b
+        d = np.maximum(p * (1 - p), 1e-10)
+        curve = np.append(scale * transposed(d), d.sum()) + penalty
+        step, r = np.zeros_like(w), -g
+        q = r / curve
+        dot = float(r @ q)
+        for _ in range(100):
+            h = back(d * both(q)) + penalty * q
+            a = dot / float(q @ h)
+            step += a * q
+            r -= a * h
+            if np.linalg.norm(r) <= min(0.25, math.sqrt(size / first)) * size:
+                break
+            fresh = float(r @ (r / curve))
+            q, dot = r / curve + fresh / dot * q, fresh
+        along, now, t = both(step), loss(z, w), 1.0
+        while t > 1e-6 and loss(z + t * along, w + t * step) > now + 1e-4 * t * float(g @ step):
+            t /= 2
+        w, z = w + t * step, z + t * along
+    return w[:-1], float(w[-1])
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED) -> DataFrame:
@@ -171,14 +191,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_
 
 
 def gram_counts(rows: DataFrame) -> DataFrame:
-    """(gram, clean, toxic): how many texts of either label hold an n-gram, from (text, toxic)."""
+    """(gram, clean, toxic, holders): how many texts of either label hold an n-gram, and a 64-bit name of the set of these texts, from (text, toxic)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = np.uint64(TaskContext.get().partitionId() << 40)
         for batch in batches:
             toxic = batch.column(1).to_numpy(zero_copy_only=False) > 0
             held, size = [], 0
             for i, of_text in enumerate(distinct_grams(batch.column(0))):
-                held.append((of_text, toxic[i]))
+                number += np.uint64(1)
+                held.append((of_text, toxic[i], mix(np.array([number]))[0]))
                 size += len(of_text)
                 if size >= _PAIRS:
                     yield counted(held)
@@ -187,13 +209,17 @@ def gram_counts(rows: DataFrame) -> DataFrame:
                 yield counted(held)
 
     def counted(held: list) -> pa.RecordBatch:
-        grams, at = np.unique(np.concatenate([g for g, _ in held]), return_inverse=True)
-        bad = np.repeat([y for _, y in held], [len(g) for g, _ in held])
-        every, of_toxic = np.bincount(at), np.bincount(at[bad], minlength=len(grams))
-        return pa.record_batch([pa.array(signed(grams)), pa.array(every - of_toxic), pa.array(of_toxic)], names=["gram", "clean", "toxic"])
+        grams, sizes = np.concatenate([g for g, _, _ in held]), [len(g) for g, _, _ in held]
+        order = np.argsort(grams, kind="stable")
+        grams = grams[order]
+        heads = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
+        every = np.diff(np.append(heads, len(grams)))
+        of_toxic = np.add.reduceat(np.repeat([int(y) for _, y, _ in held], sizes)[order], heads)
+        names = np.bitwise_xor.reduceat(np.repeat(np.array([n for _, _, n in held], np.uint64), sizes)[order], heads)
+        return pa.record_batch([pa.array(signed(grams[heads])), pa.array(every - of_toxic), pa.array(of_toxic), pa.array(signed(names))], names=["gram", "clean", "toxic", "holders"])
 
-    parts = rows.mapInArrow(run, "gram long, clean long, toxic long")
-    return parts.groupBy("gram").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    parts = rows.mapInArrow(run, "gram long, clean long, toxic long, holders long")
+    return parts.groupBy("gram").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"), F.bit_xor("holders").alias("holders"))
 
 
 def distinct_grams(column: pa.Array) -> Iterator[np.ndarray]:
@@ -214,28 +240,34 @@ def train(rows: DataFrame, scratch, smoothing: float = 1.0, parts: int = 8) -> T
     spread = F.abs(p - q) / F.sqrt((p * (1 - p) + 1 / toxic) / toxic + (q * (1 - q) + 1 / clean) / clean)
     kept = gram_counts(rows).filter((F.col("clean") + F.col("toxic") >= LEAST_TEXTS) & (spread > least_spread(toxic + clean)))
     # n-grams of at most most_labelled texts that tell the labels apart: some thousands, whatever the corpus.
-    kept = kept.toPandas()
+    kept = kept.toPandas().sort_values(["clean", "toxic", "holders", "gram"], ignore_index=True)
     grams = kept["gram"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(grams)
-    grams = grams[order]
-    in_toxic, in_clean = (kept[c].to_numpy(np.float64)[order] for c in ("toxic", "clean"))
+    in_toxic, in_clean = (kept[c].to_numpy(np.float64) for c in ("toxic", "clean"))
     ratio = np.log((in_toxic + smoothing) / (toxic + 2 * smoothing)) - np.log((in_clean + smoothing) / (clean + 2 * smoothing))
+    # m n-grams of the same texts have the same ratio, and under a ridge the same weight: one column, scaled by the root of m, gives just that.
+    new = (kept[["clean", "toxic", "holders"]].diff() != 0).any(axis=1).to_numpy()
+    first, m = np.flatnonzero(new), np.bincount(np.cumsum(new) - 1) if len(new) else np.empty(0, np.int64)
+    by_gram = np.argsort(grams[first])
+    wanted, scale = grams[first][by_gram], (ratio[first] * np.sqrt(m))[by_gram]
 
     def hits(batches):
-        lookup = Lookup(grams)
+        lookup = Lookup(wanted)
         for batch in batches:
             places = [x.astype(np.uint32).tobytes() for x in lookup.of_texts(batch.column(0))]
             yield pa.record_batch([pa.array(places, pa.binary()), batch.column(1)], names=["hits", "toxic"])
 
-    # At most most_labelled rows of the kept n-grams that they hold.
+    # At most most_labelled rows of the columns that they hold.
     lists, y = [], []
     for r in rows.mapInArrow(hits, "hits binary, toxic int").toLocalIterator():
         lists.append(np.frombuffer(r["hits"], np.uint32))
         y.append(r["toxic"] > 0)
     sizes, columns = np.array([len(x) for x in lists]), np.concatenate(lists)
     del lists
-    w, b = fit_logistic(sizes, columns, ratio, np.asarray(y, float))
-    return ToxicityModel(grams, w * ratio, b)
+    w, b = fit_logistic(sizes, columns, scale, np.asarray(y, float))
+    weights = np.empty(len(first))
+    weights[by_gram] = w * scale
+    order = np.argsort(grams)
+    return ToxicityModel(grams[order], np.repeat(weights / m, m)[order], b)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
