@@ -109,6 +109,38 @@ def test_pca_loadings_are_unit_vectors(spark):
     assert np.allclose(norm, 1) and (share <= 1 + 1e-9).all()
 
 
+def test_pca_equals_a_plain_version(spark):
+    """The covariance of raw features, month by month; a gap counts as the mean so far, a thin month is left out, only the month's last date counts."""
+    rng, rows, months = np.random.default_rng(5), [], []
+    for i in range(45):
+        last, month = D(2000 + i // 12, i % 12 + 1, 20), []
+        for j, f in enumerate("abcd"):
+            rows.append((D(2000 + i // 12, i % 12 + 1, 5), f, 1e6))  # not the month's last date
+            v = float(rng.standard_normal() * 10**j)
+            gone = (i % 9 == 4 and f in "bcd") or (i % 5 == 2 and f == "c")
+            month.append(None if gone else v)
+            if not gone:
+                rows.append((last, f, v))
+        months.append((last.replace(day=1), month))
+    got = models.pca_factors(models.month_ends(spark.createDataFrame(rows, "observation_date date, feature_name string, value double"))).toPandas()
+    score = {(m.year, m.month, f): v for m, kind, f, _, v in got.itertuples(index=False) if kind == "score"}
+    past, seen = [], 0
+    for day, month in months:
+        if sum(v is not None for v in month) < 2:
+            assert (day.year, day.month, 1) not in score
+            continue
+        past.append([(sum(p[j] for p in past) / len(past) if past else 0.0) if v is None else v for j, v in enumerate(month)])
+        if len(past) < 30:
+            continue
+        values, vectors = np.linalg.eig(np.cov(np.array(past), rowvar=False))
+        for f, at in enumerate(np.argsort(-values)):
+            v = vectors[:, at] * np.sign(vectors[np.argmax(np.abs(vectors[:, at])), at])
+            want = sum((x - sum(p[j] for p in past) / len(past)) * v[j] for j, x in enumerate(past[-1]))
+            assert score[day.year, day.month, f + 1] == pytest.approx(want, rel=1e-6, abs=1e-6)
+            seen += 1
+    assert seen > 30
+
+
 def test_meeting_ladder_sums_to_one():
     rows = models.meeting_path([(1, 4.3), (90, 4.1), (365, 3.6)], [20, 62])
     for day in (20, 62):
@@ -152,6 +184,25 @@ def test_fourth_quarter_uses_what_was_known(spark):
     assert sorted(r.value for r in out) == [7.0, 20.0]
 
 
+def test_fourth_quarter_reported_or_known_late(spark):
+    """A reported quarter stands alone; nine months filed after the year count where nothing else does; years by themselves."""
+    rows = [("r", D(2020, 1, 1), D(2020, 9, 30), 30.0, D(2020, 11, 1)), ("r", D(2020, 1, 1), D(2020, 12, 31), 60.0, D(2021, 2, 1)), ("r", D(2020, 10, 1), D(2020, 12, 31), 31.0, D(2021, 2, 1)), ("l", D(2020, 1, 1), D(2020, 9, 30), 40.0, D(2021, 6, 1)), ("l", D(2020, 1, 1), D(2020, 12, 31), 50.0, D(2021, 2, 1))]
+    facts = spark.createDataFrame(rows, "series_id string, s date, e date, v double, filed date")
+    assert sorted((r.series_id, r.value) for r in payloads.decumulated(facts).collect()) == [("l", 10.0), ("r", 31.0)]
+    assert sorted((r.series_id, r.value) for r in payloads.decumulated(facts, "annual").collect()) == [("l", 50.0), ("r", 60.0)]
+
+
+def test_upsert_of_repeated_keys_is_stable(spark):
+    old, new = (spark.createDataFrame(r, "k string, v double") for r in ([("a", 9.0), ("b", 1.0)], [("a", 2.0), ("a", 3.0)]))
+    assert sorted(map(tuple, payloads.upserted(old, new, ["k"]).collect())) == [("a", 3.0), ("b", 1.0)]
+
+
+def test_flat_factors_are_no_degrees_of_freedom(spark):
+    rows = [(D(2020, 1, 1) + dt.timedelta(i), f, float(i % 7) if f == "x" else 4.0) for i in range(30) for f in "xy"]
+    out = models.anomaly_distance(spark.createDataFrame(rows, "observation_date date, factor string, score double")).collect()
+    assert len(out) == 11 and {r.k for r in out} == {1}
+
+
 def test_warehouse_upsert_is_idempotent(spark, tmp_path):
     house = store.Warehouse(spark, str(tmp_path))
     rows = spark.createDataFrame([("fred", "A", '{"observations":[{"date":"2020-01-01","value":"1"},{"date":"2020-02-01","value":"."}]}')], "source string, series_id string, payload string")

@@ -22,12 +22,6 @@ def test_query_without_sql_runs(spark, name):
     assert list(rows.columns) == [part.split()[0] for part in registry.SPECS[name].split(",")]
 
 
-def test_unpivoted_prices_cover_every_ticker(spark, duck):
-    found = {tuple(r) for r in registry.QUERIES["unpivot_all_prices"](spark, SF).select("series_id", "observation_date").collect()}
-    days = duck.execute("SELECT DISTINCT 'S' || l_suppkey, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) FROM lineitem").fetchall()
-    assert found == {(f"{ticker}:{field}", day) for ticker, day in days for field in ("close", "divCash")}
-
-
 def test_forecasts_of_both_models(spark):
     rows = registry.QUERIES["inflation_forecast"](spark, SF).groupBy("model").count().collect()
     assert {r.model: r["count"] for r in rows} == {"ar": 20, "var": 16}

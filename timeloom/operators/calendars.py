@@ -21,6 +21,7 @@ HOLIDAYS = [
     ("Thanksgiving Day", ("nth", 11, 5, 4), "NYSE SIFMA FEDWIRE", 0),
     ("Christmas Day", ("fixed", 12, 25), "NYSE SIFMA FEDWIRE", 0),
 ]
+PERIODS = ("month", "quarter", "year")
 MARKETS = ("NYSE", "SIFMA", "FEDWIRE")
 
 
@@ -63,26 +64,30 @@ def holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
 
 
 def market_calendar(spark: SparkSession, start: str, end: str, closures: DataFrame | None = None) -> DataFrame:
-    """A row per market and day: is it a business day, the ones before and after, T+2, and its place in the month.
+    """A row per market and day: is it a business day, the ones before and after, T+2, its place in the month, and is it the first or last of its month, quarter or year.
 
     closures: (market, observed, holiday), further closed days. The calendar is padded, so that the ends have neighbours.
     """
     lo, hi = F.to_date(F.lit(start)), F.to_date(F.lit(end))
-    off = holidays(spark, int(start[:4]) - 1, int(end[:4]) + 1)
+    off = holidays(spark, int(start[:4]) - 1, int(end[:4]) + 2)
     off = off.unionByName(closures) if closures is not None else off
     off = off.groupBy("market", F.col("observed").alias("day")).agg(F.min("holiday").alias("holiday"))
-    days = spark.range(1).select(F.explode(F.sequence(F.date_sub(lo, 40), F.date_add(hi, 40))).alias("day"), F.array(*[F.lit(m) for m in MARKETS]).alias("ms")).select("day", F.explode("ms").alias("market"))
+    days = spark.range(1).select(F.explode(F.sequence(F.date_sub(F.trunc(lo, "year"), 40), F.date_add(hi, 406))).alias("day"), F.array(*[F.lit(m) for m in MARKETS]).alias("ms")).select("day", F.explode("ms").alias("market"))
     rows = days.join(F.broadcast(off), ["market", "day"], "left")  # some dozen days per year
     rows = rows.withColumn("is_business_day", ~F.dayofweek("day").isin(1, 7) & F.col("holiday").isNull())
     open_day = F.when(F.col("is_business_day"), F.col("day"))
-    order = Window.partitionBy("market").orderBy("day")
+    # Backwards as well as forwards, so that both neighbours come from running frames.
+    order, back = Window.partitionBy("market").orderBy("day"), Window.partitionBy("market").orderBy(F.col("day").desc())
     month = Window.partitionBy("market", F.trunc("day", "month"))
-    rows = rows.withColumn("prior_business_day", F.last(open_day, True).over(order.rowsBetween(Window.unboundedPreceding, -1))).withColumn("next_business_day", F.first(open_day, True).over(order.rowsBetween(1, Window.unboundedFollowing)))
+    rows = rows.withColumn("prior_business_day", F.last(open_day, True).over(order.rowsBetween(Window.unboundedPreceding, -1))).withColumn("next_business_day", F.last(open_day, True).over(back.rowsBetween(Window.unboundedPreceding, -1)))
     rows = rows.withColumn("business_day_of_month", F.when(F.col("is_business_day"), F.sum(F.col("is_business_day").cast("int")).over(month.orderBy("day"))))
-    rows = rows.withColumn("is_first_of_month", F.coalesce(F.col("day") == F.min(open_day).over(month), F.lit(False))).withColumn("is_last_of_month", F.coalesce(F.col("day") == F.max(open_day).over(month), F.lit(False)))
+    for unit in PERIODS:
+        period = Window.partitionBy("market", F.trunc("day", unit))
+        for name, pick in (("first", F.min), ("last", F.max)):
+            rows = rows.withColumn(f"is_{name}_of_{unit}", F.coalesce(F.col("day") == pick(open_day).over(period), F.lit(False)))
     after = rows.select("market", F.col("day").alias("next_business_day"), F.col("next_business_day").alias("t_plus_2"))
     rows = rows.join(after, ["market", "next_business_day"], "left")
-    return rows.filter(F.col("day").between(lo, hi)).select("market", "day", "is_business_day", "holiday", "prior_business_day", "next_business_day", "t_plus_2", "business_day_of_month", "is_first_of_month", "is_last_of_month")
+    return rows.filter(F.col("day").between(lo, hi)).select("market", "day", "is_business_day", "holiday", "prior_business_day", "next_business_day", "t_plus_2", "business_day_of_month", *[f"is_{x}_of_{unit}" for unit in PERIODS for x in ("first", "last")])
 
 
 def dim_date(spark: SparkSession, start: str, end: str) -> DataFrame:

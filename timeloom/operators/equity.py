@@ -53,10 +53,18 @@ def price_reconciliation(a: DataFrame, b: DataFrame, tolerance_pct: float = 2.0)
 
 
 def realized_volatility(prices: DataFrame, windows: tuple[int, ...] = VOL_WINDOWS) -> DataFrame:
-    """Annualised population deviation of log returns over full windows, in percent."""
+    """Annualised population deviation of log returns over full windows, in percent.
+
+    Windows of any width are differences of two running sums: one pass over a ticker.
+    """
     prev = F.lag("close").over(k.ordered("ticker"))
     rows = prices.withColumn("r", F.when((F.col("close") > 0) & (prev > 0), F.ln(F.col("close") / prev))).filter("r is not null")
-    n = F.row_number().over(k.ordered("ticker"))
-    out = [F.when(n >= w, F.struct(F.lit(w).alias("window_size"), (F.stddev_pop("r").over(k.trailing(w, "ticker")) * math.sqrt(252) * 100).alias("volatility_pct"))) for w in windows]
+    order, so_far = k.ordered("ticker"), k.expanding("ticker")
+    rows = rows.select("ticker", "observation_date", F.row_number().over(order).alias("n"), F.sum("r").over(so_far).alias("s1"), F.sum(F.col("r") * F.col("r")).over(so_far).alias("s2"))
+    out = []
+    for w in windows:
+        mean, square = ((F.col(c) - F.coalesce(F.lag(c, w).over(order), F.lit(0.0))) / w for c in ("s1", "s2"))
+        deviation = F.sqrt(F.greatest(square - mean * mean, F.lit(0.0)))
+        out.append(F.when(F.col("n") >= w, F.struct(F.lit(w).alias("window_size"), (deviation * math.sqrt(252) * 100).alias("volatility_pct"))))
     rows = rows.select("ticker", "observation_date", F.array_compact(F.array(*out)).alias("vs"))
     return rows.select("ticker", "observation_date", F.explode("vs").alias("v")).select("ticker", "observation_date", "v.*")

@@ -25,43 +25,45 @@ def feature_matrix(transforms: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def month_ends(matrix: DataFrame) -> DataFrame:
-    """Each feature's last value of every month."""
-    return matrix.groupBy("feature_name", F.last_day("observation_date").alias("month")).agg(F.max_by("value", "observation_date").alias("value"))
+    """(feature_name, month, value): what is there on the last date of each month that has any feature; others of that month are missing."""
+    last = matrix.groupBy(F.last_day("observation_date").alias("month")).agg(F.max("observation_date").alias("observation_date"))
+    return matrix.join(last, "observation_date").groupBy("feature_name", "month").agg(F.max("value").alias("value"))
 
 
 def pca_factors(months: DataFrame, n_factors: int = 5, min_obs: int = 30) -> DataFrame:
-    """(month, kind, factor, feature, value): expanding principal components, scores and loadings.
+    """(month, kind, factor, feature, value): expanding principal components of the features' sample covariance; scores, shares and loadings.
 
-    A missing feature counts as its running mean; every month sees its past
-    only, so the months of one matrix are one sequential group. It holds a row
-    per month: natively reduced, a few hundred.
+    A month with fewer than half of the features (two at least) is left out. A
+    missing feature counts as the mean of the months before. The score is that of
+    the month less the mean; the largest loading is positive. Every month sees its
+    past only, so the months of one matrix are one sequential group. It holds a
+    row per month: natively reduced, a few hundred.
     """
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         wide = rows.pivot(index="month", columns="feature_name", values="value").sort_index()
         names, out, past = list(wide.columns), [], []
-        total, seen = np.zeros(len(names)), np.zeros(len(names))
+        if len(names) < 2:
+            return pd.DataFrame(columns=["month", "kind", "factor", "feature", "value"])
         for month, row in zip(wide.index, wide.to_numpy(float), strict=True):
             here = ~np.isnan(row)
             if here.sum() < max(2, len(names) // 2):
                 continue
-            mean = np.divide(total, seen, out=np.zeros(len(names)), where=seen > 0)
-            past.append(np.where(here, row, mean))
-            total[here] += row[here]
-            seen += here
-            if len(past) < min_obs:
+            past.append(np.where(here, row, np.mean(past, axis=0) if past else 0.0))
+            if len(past) < max(min_obs, 2):
                 continue
-            m = np.array(past)
-            sd = m.std(axis=0, ddof=1)
-            z = np.divide(m - m.mean(axis=0), sd, out=np.zeros_like(m), where=sd > 1e-12)
-            values, vectors = np.linalg.eigh(np.cov(z, rowvar=False))
-            trace = max(values.sum(), 1e-12)
+            centred = np.array(past) - np.mean(past, axis=0)
+            covariance = centred.T @ centred / (len(past) - 1)
+            trace = float(np.trace(covariance))
+            if trace <= 0:
+                continue
+            values, vectors = np.linalg.eigh(covariance)
             for f in range(min(n_factors, len(names))):
                 ev, v = values[-1 - f], vectors[:, -1 - f]
-                if ev <= 1e-12:
+                if ev <= 1e-12 * trace:
                     break
                 v = v * np.sign(v[np.argmax(np.abs(v))])
-                out.append((month, "score", f + 1, "", float(z[-1] @ v)))
+                out.append((month, "score", f + 1, "", float(centred[-1] @ v)))
                 out.append((month, "share", f + 1, "", float(ev / trace)))
                 out += [(month, "loading", f + 1, n, float(x)) for n, x in zip(names, v, strict=True)]
         return pd.DataFrame(out, columns=["month", "kind", "factor", "feature", "value"])
@@ -70,12 +72,15 @@ def pca_factors(months: DataFrame, n_factors: int = 5, min_obs: int = 30) -> Dat
 
 
 def anomaly_distance(scores: DataFrame, min_obs: int = 20) -> DataFrame:
-    """Squared distance of a date's factors from their past, in expanding sample variances; dates where all have min_obs rows. scores: (observation_date, factor, score)."""
+    """Squared distance of a date's factors from their past, in expanding sample variances; dates where all have min_obs rows.
+
+    scores: (observation_date, factor, score). k, the degrees of freedom, counts the factors that have varied; a date without one has no row.
+    """
     w = k.expanding("factor")
     rows = scores.withColumn("n", F.count("*").over(w)).withColumn("m", F.avg("score").over(w)).withColumn("v", F.var_samp("score").over(w))
     d2 = F.sum(F.when(F.col("v") > k.FLAT, (F.col("score") - F.col("m")) * (F.col("score") - F.col("m")) / F.col("v")).otherwise(0.0))
-    days = rows.groupBy("observation_date").agg(F.min("n").alias("n"), d2.alias("d2"), F.count("*").alias("k"))
-    return days.filter(F.col("n") >= min_obs).select("observation_date", "d2", "k")
+    days = rows.groupBy("observation_date").agg(F.min("n").alias("n"), d2.alias("d2"), F.count_if(F.col("v") > k.FLAT).alias("k"))
+    return days.filter((F.col("n") >= min_obs) & (F.col("k") > 0)).select("observation_date", "d2", "k")
 
 
 def anomaly_scores(scores: DataFrame, alpha: float = 0.01) -> DataFrame:

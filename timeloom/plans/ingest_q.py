@@ -25,10 +25,11 @@ register("pca_factors", "month d, kind s, factor i, feature s, value f", lambda
 
 
 def _scores(s, d):
-    return _matrix(s, d).filter("feature_name in ('auto_z', 'house_z', 'build_mom')").select("observation_date", F.col("feature_name").alias("factor"), F.col("value").alias("score"))
+    rows = _matrix(s, d).filter("feature_name in ('auto_z', 'house_z', 'build_mom')").select("observation_date", F.col("feature_name").alias("factor"), F.col("value").alias("score"))
+    return rows.unionByName(rows.filter("factor = 'auto_z'").select("observation_date", F.lit("flat").alias("factor"), F.lit(2.5).alias("score")))  # a factor that never varies
 
 
-register("anomaly_d2", "observation_date d, d2 f, k i", lambda s, d: models.anomaly_distance(_scores(s, d)), f"SELECT observation_date, min(n) AS n, sum(CASE WHEN v > 1e-12 THEN (score - m) ^ 2 / v ELSE 0 END) AS d2, count(*) AS k FROM (SELECT *, count(*) OVER o AS n, avg(score) OVER o AS m, var_samp(score) OVER o AS v FROM (SELECT observation_date, feature_name AS factor, value AS score FROM ({_MATRIX}) WHERE feature_name IN ('auto_z', 'house_z', 'build_mom')) WINDOW o AS (PARTITION BY factor ORDER BY observation_date)) AS t GROUP BY 1 HAVING min(n) >= 20", "monthly")
+register("anomaly_d2", "observation_date d, d2 f, k i", lambda s, d: models.anomaly_distance(_scores(s, d)), f"SELECT observation_date, min(n) AS n, sum(CASE WHEN v > 1e-12 THEN (score - m) ^ 2 / v ELSE 0 END) AS d2, count(*) FILTER (v > 1e-12) AS k FROM (SELECT *, count(*) OVER o AS n, avg(score) OVER o AS m, var_samp(score) OVER o AS v FROM (SELECT observation_date, feature_name AS factor, value AS score FROM ({_MATRIX}) WHERE feature_name IN ('auto_z', 'house_z', 'build_mom') UNION ALL SELECT observation_date, 'flat', 2.5 FROM ({_MATRIX}) WHERE feature_name = 'auto_z') WINDOW o AS (PARTITION BY factor ORDER BY observation_date)) AS t GROUP BY 1 HAVING min(n) >= 20 AND count(*) FILTER (v > 1e-12) > 0", "monthly")
 register("anomaly_scores", "observation_date d, d2 f, p_value f, is_anomaly b", lambda s, d: models.anomaly_scores(_scores(s, d)))
 
 
@@ -113,8 +114,7 @@ def _tiingo(prices):
     return payloads.tiingo(rows.select("series_id", F.to_json("o").alias("payload")))
 
 
-register("unpivot_prices", f"{KEYS}, value p", lambda s, d: _tiingo(a.prices(s, d).filter("ticker like '%7'")), "SELECT ticker || ':close' AS series_id, observation_date, close AS value FROM prices WHERE ticker LIKE '%7' UNION ALL SELECT ticker || ':divCash', observation_date, dividend FROM prices WHERE ticker LIKE '%7'", "prices")
-register("unpivot_all_prices", f"{KEYS}, value p", lambda s, d: _tiingo(a.prices(s, d)), "SELECT ticker || ':close' AS series_id, observation_date, close AS value FROM prices UNION ALL SELECT ticker || ':divCash', observation_date, dividend FROM prices", "prices")
+register("unpivot_prices", f"{KEYS}, value p", lambda s, d: _tiingo(a.prices(s, d)), "SELECT ticker || ':close' AS series_id, observation_date, close AS value FROM prices UNION ALL SELECT ticker || ':divCash', observation_date, dividend FROM prices", "prices")
 register("vintage_coalesce", f"{KEYS}, realtime_start d, realtime_end d, value f", lambda s, d: payloads.coalesced_vintages(a.vintages(s, d).withColumn("value", F.floor(F.col("value") / 1e6).cast("double"))), "SELECT series_id, observation_date, min(realtime_start) AS realtime_start, max_by(realtime_end_, realtime_start) AS realtime_end, any_value(v) AS value FROM (SELECT *, sum(CASE WHEN v IS DISTINCT FROM pv OR pr IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY series_id, observation_date ORDER BY realtime_start) AS grp FROM (SELECT *, coalesce(realtime_end, DATE '9999-12-31') AS realtime_end_, lag(v) OVER w AS pv, lag(realtime_start) OVER w AS pr FROM (SELECT *, floor(value / 1e6) AS v FROM vintages) WINDOW w AS (PARTITION BY series_id, observation_date ORDER BY realtime_start))) AS t GROUP BY series_id, observation_date, grp".replace("max_by(realtime_end_, realtime_start) AS realtime_end", "nullif(max_by(realtime_end_, realtime_start), DATE '9999-12-31') AS realtime_end"), "vintages")
 
 
@@ -128,13 +128,15 @@ register("upsert_merge", f"{KEYS}, value f", _upsert, "SELECT series_id, observa
 
 
 def _cumulative(s, d):
-    rows = a.table(s, d, "orders").select(F.col("o_custkey").cast("string").alias("series_id"), F.make_date(F.year("o_orderdate"), F.lit(1), F.lit(1)).alias("s"), F.quarter("o_orderdate").alias("q"), F.col("o_totalprice").alias("v"), F.col("o_orderdate").cast("date").alias("filed"))
-    end = F.last_day(F.make_date(F.year("s"), F.when(F.col("q") == 1, 3).when(F.col("q") == 2, 6).when(F.col("q") == 3, 9).otherwise(12), F.lit(1)))
-    return payloads.decumulated(rows.select("series_id", "s", end.alias("e"), "v", "filed"))
+    """Three, six, nine and twelve months of a year, and now and then a fourth quarter that is reported by itself."""
+    rows = a.table(s, d, "orders").select(F.col("o_custkey").cast("string").alias("series_id"), F.make_date(F.year("o_orderdate"), F.lit(1), F.lit(1)).alias("s"), F.quarter("o_orderdate").alias("q"), F.col("o_totalprice").alias("v"), F.col("o_orderdate").cast("date").alias("filed"), "o_orderkey")
+    end = F.last_day(F.make_date(F.year("s"), F.col("q") * 3, F.lit(1)))
+    alone = (F.col("q") == 4) & (F.col("o_orderkey") % 5 == 0)
+    return payloads.decumulated(rows.select("series_id", F.when(alone, F.add_months("s", 9)).otherwise(F.col("s")).alias("s"), end.alias("e"), "v", "filed"))
 
 
-_CUM = "SELECT CAST(o_custkey AS VARCHAR) AS series_id, make_date(year(o_orderdate), 1, 1) AS s, last_day(make_date(year(o_orderdate), quarter(o_orderdate) * 3, 1)) AS e, o_totalprice AS v, CAST(o_orderdate AS DATE) AS filed FROM orders"
-register("q4_decumulate", f"{KEYS}, realtime_start d, value f", _cumulative, f"WITH c AS ({_CUM}), y AS (SELECT DISTINCT * FROM c WHERE e - s BETWEEN 350 AND 380) SELECT series_id, e AS observation_date, filed AS realtime_start, v AS value FROM c WHERE e - s BETWEEN 80 AND 100 UNION ALL SELECT y.series_id, y.e, y.filed, y.v - arg_max(n.v, {{'f': n.filed, 'v': n.v}}) FROM y JOIN c n ON n.series_id = y.series_id AND n.s = y.s AND n.e - n.s BETWEEN 260 AND 290 AND n.filed <= y.filed GROUP BY y.series_id, y.e, y.filed, y.v")
+_CUM = "SELECT CAST(o_custkey AS VARCHAR) AS series_id, CASE WHEN quarter(o_orderdate) = 4 AND o_orderkey % 5 = 0 THEN make_date(year(o_orderdate), 10, 1) ELSE make_date(year(o_orderdate), 1, 1) END AS s, last_day(make_date(year(o_orderdate), quarter(o_orderdate) * 3, 1)) AS e, o_totalprice AS v, CAST(o_orderdate AS DATE) AS filed FROM orders"
+register("q4_decumulate", f"{KEYS}, realtime_start d, value f", _cumulative, f"WITH c AS ({_CUM}), y AS (SELECT DISTINCT * FROM c WHERE e - s BETWEEN 350 AND 380 AND NOT EXISTS (SELECT 1 FROM c q WHERE q.series_id = c.series_id AND q.e = c.e AND q.e - q.s BETWEEN 80 AND 100)), pairs AS (SELECT y.*, n.v AS nine, row_number() OVER (PARTITION BY y.series_id, y.s, y.e, y.v, y.filed ORDER BY n.filed <= y.filed DESC, n.filed DESC, n.v DESC) AS k FROM y JOIN c n ON n.series_id = y.series_id AND n.s = y.s AND n.e - n.s BETWEEN 260 AND 290) SELECT series_id, e AS observation_date, filed AS realtime_start, v AS value FROM c WHERE e - s BETWEEN 80 AND 100 UNION ALL SELECT series_id, e, filed, v - nine FROM pairs WHERE k = 1")
 
 
 def _raw(s, d):

@@ -43,8 +43,9 @@ def _holiday_sql() -> str:
 # Easter here by the Meeus form, as a check on the Gauss form of the operator.
 _EASTER = """SELECT y, make_date(CAST(y AS BIGINT), CAST((h + l - 7 * m + 114) // 31 AS BIGINT), CAST((h + l - 7 * m + 114) % 31 + 1 AS BIGINT)) AS easter FROM (SELECT *, (aa + 11 * h + 22 * l) // 451 AS m FROM (SELECT *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 AS l FROM (
 SELECT *, (19 * aa + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 AS h FROM (SELECT y, y % 19 AS aa, y // 100 AS b, y % 100 AS c FROM range(1994, 2028) r(y)))))"""
+_EDGES = ", ".join(f"f.is_business_day AND p.day < date_trunc('{u}', f.day) AS is_first_of_{u}, f.is_business_day AND date_trunc('{u}', x.day) > date_trunc('{u}', f.day) AS is_last_of_{u}" for u in calendars.PERIODS)
 register(
-    "market_calendar", "market s, day d, is_business_day b, holiday s, prior_business_day d, next_business_day d, t_plus_2 d, business_day_of_month i, is_first_of_month b, is_last_of_month b",
+    "market_calendar", "market s, day d, is_business_day b, holiday s, prior_business_day d, next_business_day d, t_plus_2 d, business_day_of_month i, " + ", ".join(f"is_{x}_of_{u} b" for u in calendars.PERIODS for x in ("first", "last")),
     lambda s, d: calendars.market_calendar(s, START, END),
     f"""WITH years AS ({_EASTER}), off AS (SELECT market, day, min(holiday) AS holiday FROM ({_holiday_sql()}) WHERE day IS NOT NULL GROUP BY 1, 2),
 days AS (SELECT day, market FROM (SELECT {_DAY.format('1994-11-01', '2026-02-15')} AS day), (VALUES ('NYSE'), ('SIFMA'), ('FEDWIRE')) AS m(market)),
@@ -52,7 +53,7 @@ marked AS (SELECT d.market, d.day, off.holiday, dayofweek(d.day) NOT IN (0, 6) A
 numbered AS (SELECT *, row_number() OVER (PARTITION BY market ORDER BY day) AS n FROM marked WHERE is_business_day),
 found AS (SELECT m.*, (SELECT max(n.n) FROM numbered n WHERE n.market = m.market AND n.day <= m.day) AS upto FROM marked m)
 SELECT f.market, f.day, f.is_business_day, f.holiday, p.day AS prior_business_day, x.day AS next_business_day, t.day AS t_plus_2, CASE WHEN f.is_business_day THEN count(*) FILTER (f.is_business_day) OVER (PARTITION BY f.market, date_trunc('month', f.day) ORDER BY f.day) END AS business_day_of_month,
-f.is_business_day AND p.day < date_trunc('month', f.day) AS is_first_of_month, f.is_business_day AND x.day > last_day(f.day) AS is_last_of_month
+{_EDGES}
 FROM found f JOIN numbered p ON p.market = f.market AND p.n = f.upto - CAST(f.is_business_day AS INT) JOIN numbered x ON x.market = f.market AND x.n = f.upto + 1 JOIN numbered t ON t.market = f.market AND t.n = f.upto + 2 WHERE f.day BETWEEN DATE '{START}' AND DATE '{END}'""",
 )
 

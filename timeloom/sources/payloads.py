@@ -147,20 +147,29 @@ def holdings_csv(df: DataFrame) -> DataFrame:
 
 
 def sec_facts(df: DataFrame) -> DataFrame:
-    """XBRL concept: instants, quarters (80 to 100 days) and years (350 to 380), dated by filing; the fourth quarter is the year less the nine months known at its filing."""
+    """XBRL concept: instants and quarters (80 to 100 days), dated by filing; a fourth quarter that isn't reported is derived from its year."""
     rows = df.select("series_id", F.explode(F.from_json("payload", "units map<string,array<struct<start:string,end:string,val:double,filed:string>>>")["units"]).alias("unit", "os"))
     rows = rows.select("series_id", "unit", F.explode("os").alias("o")).select("series_id", "unit", F.col("o.start").try_cast("date").alias("s"), F.col("o.end").try_cast("date").alias("e"), F.col("o.val").alias("v"), F.col("o.filed").try_cast("date").alias("filed"))
     rows = rows.withColumn("series_id", F.concat_ws(":", "series_id", "unit"))
     return decumulated(rows)
 
 
-def decumulated(rows: DataFrame) -> DataFrame:
-    """(series_id, observation_date, realtime_start, value) from (series_id, s, e, v, filed)."""
+def decumulated(rows: DataFrame, period: str = "quarterly") -> DataFrame:
+    """(series_id, observation_date, realtime_start, value) from (series_id, s, e, v, filed): instants and the facts of one period, quarterly or annual.
+
+    A fourth quarter that is reported stands as it is. Otherwise it is the year
+    less the newest nine months filed by then, or, if none was, the newest of all.
+    """
     days = F.datediff("e", "s")
-    plain = rows.filter(F.col("s").isNull() | days.between(80, 100)).select("series_id", F.col("e").alias("observation_date"), F.col("filed").alias("realtime_start"), F.col("v").alias("value"))
-    year = rows.filter(days.between(350, 380)).select("series_id", "s", F.col("e").alias("y_end"), F.col("v").alias("year_v"), F.col("filed").alias("y_filed"))
+    span = days.between(350, 380) if period == "annual" else days.between(80, 100)
+    plain = rows.filter(F.col("s").isNull() | span).select("series_id", F.col("e").alias("observation_date"), F.col("filed").alias("realtime_start"), F.col("v").alias("value"))
+    if period == "annual":
+        return plain
+    reported = rows.filter(days.between(80, 100)).select("series_id", F.col("e").alias("y_end")).distinct()
+    year = rows.filter(days.between(350, 380)).select("series_id", "s", F.col("e").alias("y_end"), F.col("v").alias("year_v"), F.col("filed").alias("y_filed")).join(reported, ["series_id", "y_end"], "left_anti")
     nine = rows.filter(days.between(260, 290)).select("series_id", "s", F.col("v").alias("nine_v"), F.col("filed").alias("n_filed"))
-    last = year.join(nine, ["series_id", "s"]).filter("n_filed <= y_filed").groupBy("series_id", "s", "y_end", "year_v", "y_filed").agg(F.max_by("nine_v", F.struct("n_filed", "nine_v")).alias("nine_v"))
+    newest = F.max_by("nine_v", F.struct((F.col("n_filed") <= F.col("y_filed")).alias("known"), "n_filed", "nine_v"))
+    last = year.join(nine, ["series_id", "s"]).groupBy("series_id", "s", "y_end", "year_v", "y_filed").agg(newest.alias("nine_v"))
     fourth = last.select("series_id", F.col("y_end").alias("observation_date"), F.col("y_filed").alias("realtime_start"), (F.col("year_v") - F.col("nine_v")).alias("value"))
     return plain.unionByName(fourth)
 
@@ -181,7 +190,7 @@ def coalesced_vintages(silver: DataFrame) -> DataFrame:
 
 
 def upserted(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """target with source's rows in place of those with the same keys (null equals null), as one aggregate."""
+    """target with source's rows in place of those with the same keys (null equals null), as one aggregate; of several source rows with one key the largest counts."""
     cols = [c for c in target.columns if c not in keys]
     both = target.withColumn("_new", F.lit(0)).unionByName(source.withColumn("_new", F.lit(1)))
-    return both.groupBy(*keys).agg(F.max_by(F.struct(*cols), "_new").alias("r")).select(*keys, "r.*")
+    return both.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct("_new", *cols)).alias("r")).select(*keys, "r.*")
