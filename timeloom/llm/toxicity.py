@@ -256,13 +256,18 @@ def train(rows: DataFrame, scratch, smoothing: float = 1.0, parts: int = 8) -> T
             places = [x.astype(np.uint32).tobytes() for x in lookup.of_texts(batch.column(0))]
             yield pa.record_batch([pa.array(places, pa.binary()), batch.column(1)], names=["hits", "toxic"])
 
-    # At most most_labelled rows of the columns that they hold.
-    lists, y = [], []
-    for r in rows.mapInArrow(hits, "hits binary, toxic int").toLocalIterator():
-        lists.append(np.frombuffer(r["hits"], np.uint32))
+    # At most most_labelled rows of the columns that they hold; they are found by all tasks at once and only then read one part after the other.
+    held = scratch.save(rows.mapInArrow(hits, "hits binary, toxic int"), "hits")
+    entries = held.agg(F.sum(F.length("hits"))).first()[0] // 4
+    columns, sizes, y, end = np.empty(entries, np.uint32), [], [], 0
+    for r in held.toLocalIterator():
+        of_text = np.frombuffer(r["hits"], np.uint32)
+        columns[end : end + len(of_text)] = of_text
+        end += len(of_text)
+        sizes.append(len(of_text))
         y.append(r["toxic"] > 0)
-    sizes, columns = np.array([len(x) for x in lists]), np.concatenate(lists)
-    del lists
+    scratch.drop("hits", "training")
+    sizes = np.array(sizes)
     w, b = fit_logistic(sizes, columns, scale, np.asarray(y, float))
     weights = np.empty(len(first))
     weights[by_gram] = w * scale
