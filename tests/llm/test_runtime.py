@@ -39,3 +39,24 @@ def test_a_cluster_needs_a_shared_folder():
         runtime.shared_dir(session("spark://host:7077"))
     assert runtime.shared_dir(session("spark://host:7077", "hdfs://x/y/")) == "hdfs://x/y"
     assert runtime.shared_dir(session("local[2]")).startswith("file://")
+
+
+def test_batches_are_bounded_in_bytes_and_whole(spark):
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    before = spark.conf.get(runtime.BATCH)
+    try:
+        spark.conf.unset(runtime.BATCH)
+        runtime.Scratch(spark, "batches")
+        texts = spark.range(0, 8000, 1, 1).select(F.repeat(F.lit("0123456789"), 300).alias("text"))
+        found = texts.mapInArrow(runtime.returning(sizes), "n long, size long").collect()
+        assert sum(r["n"] for r in found) == 8000 and max(r["size"] for r in found) <= 1.1 * runtime.BATCH_BYTES
+        spark.conf.set(runtime.BATCH, "1m")  # less than that stays
+        runtime.Scratch(spark, "batches")
+        assert spark.conf.get(runtime.BATCH) in ("1m", "1048576b")
+    finally:
+        spark.conf.set(runtime.BATCH, before)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from timeloom.llm import textops
 from timeloom.llm.components import connected_components
-from timeloom.llm.runtime import Scratch
+from timeloom.llm.runtime import Scratch, returning
 
 SHINGLE = 5
 PERCENT = 80
@@ -115,7 +115,7 @@ def set_table(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, bits: i
                     names=["doc_id", "n", "hi", "lo", "prefix", "spare", "bitmap", "fine"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n long, hi long, lo long, prefix array<long>, spare long, bitmap binary, fine binary")
+    return docs.mapInArrow(returning(run), "doc_id long, n long, hi long, lo long, prefix array<long>, spare long, bitmap binary, fine binary")
 
 
 def _fine_bitmap(hashes: np.ndarray) -> bytes:
@@ -243,7 +243,7 @@ def link_blocks(blocks: DataFrame, percent: int) -> DataFrame:
             if out[0]:
                 yield pa.record_batch([pa.array(out[0]), pa.array(out[1])], names=["a", "b"])
 
-    return blocks.mapInArrow(run, "a long, b long")
+    return blocks.mapInArrow(returning(run), "a long, b long")
 
 
 def _met_before(earlier: pa.ListArray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -280,7 +280,7 @@ def candidate_blocks(blocks: DataFrame, percent: int) -> DataFrame:
             if both.size:
                 yield pa.record_batch([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
 
-    return blocks.mapInArrow(run, "a long, b long")
+    return blocks.mapInArrow(returning(run), "a long, b long")
 
 
 def finer(pairs: DataFrame, percent: int) -> DataFrame:
@@ -292,7 +292,7 @@ def finer(pairs: DataFrame, percent: int) -> DataFrame:
             keep = pa.array([may_reach(*x, percent) for x in zip(a, n_a, b, n_b, strict=True)], pa.bool_())
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(keep)
 
-    return pairs.select("a", "b", "fine_a", "n_a", "fine_b", "n_b").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "fine_a", "n_a", "fine_b", "n_b").mapInArrow(returning(run), "a long, b long")
 
 
 def verified(pairs: DataFrame, percent: int) -> DataFrame:
@@ -309,7 +309,7 @@ def verified(pairs: DataFrame, percent: int) -> DataFrame:
             keep = pa.array([similar(x, y, percent) for x, y in zip(*sets, strict=True)], pa.bool_())
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(keep)
 
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(returning(run), "a long, b long")
 
 
 def _partitions(df: DataFrame) -> int:

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from timeloom.llm.runtime import returning
+
 #: Chunks whose ids a worker keeps; the cache is emptied when it is full.
 CACHED_CHUNKS = 400_000
 ITEMS_PER_SALT = 10_000
@@ -272,6 +274,6 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
         return pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids binary")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(returning(cut), "doc_id long, piece int, start long, length long, ids binary")
 
 

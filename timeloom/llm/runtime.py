@@ -2,19 +2,47 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Spark's own switch: an execution's shuffle files go when it ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: Spark's bound on what goes to Python at once. A task holds a batch several times, in the JVM and in Python, so its own 64 MB is too much for small executors.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+
 _open: list[list[Scratch]] = []
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Batches of at most about BATCH_BYTES, or less where the session asks for less; every row is in one."""
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH))
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(BATCH, str(BATCH_BYTES))
+
+
+def returning(run: Callable) -> Callable:
+    """run for mapInArrow; at its end the worker, which Spark keeps, gives freed memory back to the machine."""
+
+    def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return out
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir. Where it is unset, a folder of our own on a local master, and an error on a cluster, whose machines don't share one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -37,6 +65,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
+        bound_batches(spark)
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
         fs, path = self._at()
         fs.mkdirs(path)  # only what exists can be marked

@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from timeloom.llm.runtime import returning
 from timeloom.llm.textops import mix, signed
 
 SIZES = (3, 4, 5)
@@ -218,7 +219,7 @@ def gram_counts(rows: DataFrame) -> DataFrame:
         names = np.bitwise_xor.reduceat(np.repeat(np.array([n for _, _, n in held], np.uint64), sizes)[order], heads)
         return pa.record_batch([pa.array(signed(grams[heads])), pa.array(every - of_toxic), pa.array(of_toxic), pa.array(signed(names))], names=["gram", "clean", "toxic", "holders"])
 
-    parts = rows.mapInArrow(run, "gram long, clean long, toxic long, holders long")
+    parts = rows.mapInArrow(returning(run), "gram long, clean long, toxic long, holders long")
     return parts.groupBy("gram").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"), F.bit_xor("holders").alias("holders"))
 
 
@@ -257,7 +258,7 @@ def train(rows: DataFrame, scratch, smoothing: float = 1.0, parts: int = 8) -> T
             yield pa.record_batch([pa.array(places, pa.binary()), batch.column(1)], names=["hits", "toxic"])
 
     # At most most_labelled rows of the columns that they hold; they are found by all tasks at once and only then read one part after the other.
-    held = scratch.save(rows.mapInArrow(hits, "hits binary, toxic int"), "hits")
+    held = scratch.save(rows.mapInArrow(returning(hits), "hits binary, toxic int"), "hits")
     entries = held.agg(F.sum(F.length("hits"))).first()[0] // 4
     columns, sizes, y, end = np.empty(entries, np.uint32), [], [], 0
     for r in held.toLocalIterator():
@@ -286,7 +287,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...]
         for batch in batches:
             yield pa.record_batch([batch.column(1), pa.array(known.scores(batch.column(0)))], names=["_row", "_score"])
 
-    return rows.mapInArrow(run, schema).select("_row.*", F.col("_score").alias("score"))
+    return rows.mapInArrow(returning(run), schema).select("_row.*", F.col("_score").alias("score"))
 
 
 def classify_toxicity(docs: DataFrame, labels: DataFrame, scratch, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
